@@ -12,3 +12,8 @@ def require(df: DataFrame, name: str, *columns: str) -> DataFrame:
     if missing:
         raise ValueError(f"input '{name}' lacks columns {missing}; it has {df.columns}")
     return df
+
+
+def pick(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Only the named columns, after :func:`require`; keeps other columns out of the joins."""
+    return require(df, name, *columns).select(*columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..checks import require
+from ..checks import pick, require
 from ..functions.amounts import value_map
 from ..functions.dates import DateLike, month_end, month_number, month_index
 from ..operators.joins import decode
@@ -118,7 +118,11 @@ def agent_contacts(
         F.col("email_addr").alias("direct_mgr_email"),
         F.col("mobl_phon_num").alias("direct_mgr_phone"),
     )
-    active = agents.where(F.col("agt_stat_code") == "1")
+    active = pick(
+        agents, "agents", "agt_code", "agt_nm", "can_num", "loc_code", "unit_code", "rank_cd", "agt_sup",
+        "mobl_phon_num", "epos_ind", "dtk_ind", "cmp_ind", "mba_ind", "cntrct_eff_dt", "comp_prvd_num",
+        "agt_stat_code",
+    ).where(F.col("agt_stat_code") == "1")
     if providers is not None:
         active = active.where(F.col("comp_prvd_num").isin(*providers))
     if joined_by is not None:
@@ -244,7 +248,10 @@ def active_agents(
     id_num, can_dob, sex_code, agent_group), channels (comp_prvd_num, chnl_cd), exams
     (class_cd, exam_dt, exam_master_cd), ``first_exam`` from :func:`first_exams`.
     """
-    require(agents, "agents", "agt_code", "unit_code", "class_num", "can_num", "stat_cd")
+    staff = pick(
+        agents, "agents", "agt_code", "agt_nm", "class_num", "agt_join_dt", "br_code", "loc_code", "stat_cd",
+        "rank_cd", "unit_code", "team_code", "can_num", "comp_prvd_num",
+    )
     own_unit = units.where(F.col("stru_grp_typ") == "UN").select(
         F.col("stru_grp_cd").alias("unit_code"), "mgr_cd"
     )
@@ -260,7 +267,7 @@ def active_agents(
         F.col("exam_dt").alias("exam_date"),
     )
     full = (
-        agents.where(F.col("stat_cd").isin("01", "99"))
+        staff.where(F.col("stat_cd").isin("01", "99"))
         .join(own_unit, "unit_code")
         .join(above, "agt_code")
         .join(locations.select(F.col("loc_cd").alias("loc_code"), "loc_desc"), "loc_code")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..checks import require
+from ..checks import pick, require
 from ..functions.amounts import ape, band, value_map, vip_tier
 from ..functions.conditions import yn
 from ..functions.dates import (
@@ -241,8 +241,12 @@ def insured_policies(
     report = F.lit(day(rpt_date))
     here = F.col("image_date") == report
     active = links.where(here & (F.col("link_typ") == "O") & (F.col("rec_status") == "A"))
+    paying = pick(
+        policies, "policies", "image_date", "pol_num", "plan_code_base", "vers_num_base", "mode_prem",
+        "pmt_mode", "pol_stat_cd", "pol_eff_dt", "cnfrm_acpt_dt", "agt_code",
+    )
     rows = snapshot_join(
-        policies.where(here & F.col("pol_stat_cd").isin(*v.APP_PAYING)),
+        paying.where(here & F.col("pol_stat_cd").isin(*v.APP_PAYING)),
         active.select("image_date", "pol_num", "cli_num", "addr_typ"),
         ["pol_num"],
     )
@@ -382,7 +386,7 @@ def customer_month(
     paying = F.col("pol_stat_cd").isin(*v.PAYING)
     old = whole_years(F.lit(day(as_of)), "pol_iss_dt") >= 10
     held = (
-        owned(policies, links)
+        owned(pick(policies, "policies", "pol_num", "pol_iss_dt", "pol_eff_dt", "pol_stat_cd"), links)
         .groupBy("cli_num")
         .agg(
             count_if(paying & old, "pol_num").alias("old_count"),
@@ -412,7 +416,12 @@ def bank_customers(policies: DataFrame, links: DataFrame, agents: DataFrame) ->
     """Clients and the bank (location prefix) of the bank agents who service their policies."""
     staff = agents.where((F.col("chnl_cd") == "03") & (F.col("stat_cd") == "01"))
     return (
-        owned(policies.where(F.col("pol_stat_cd").isin(*v.PAYING)), links.where(F.col("rec_status") == "A"))
+        owned(
+            pick(policies, "policies", "pol_num", "agt_code", "pol_stat_cd").where(
+                F.col("pol_stat_cd").isin(*v.PAYING)
+            ),
+            links.where(F.col("rec_status") == "A"),
+        )
         .join(
             staff.select("agt_code", F.substring("loc_code", 1, 3).alias("bank_cd")), "agt_code"
         )
@@ -449,7 +458,10 @@ def customer_holdings(
         & (F.col("to_crcy_code") == currency)
         & (F.col("xchng_rate_typ") == "U")
     )
-    all_owned = owned(policies.where(here), links.where(here))
+    terms = pick(
+        policies, "policies", "image_date", "pol_num", "pmt_mode", "pol_stat_cd", "crcy_code", "pol_eff_dt"
+    )
+    all_owned = owned(terms.where(here), links.where(here))
     paying = with_top_row(
         all_owned.where(F.col("pol_stat_cd").isin(*v.PAYING)),
         in_currency,
@@ -519,11 +531,12 @@ def servicing_status(
     """
     report = F.lit(day(rpt_date))
     here = F.col("image_date") == report
-    paying = owned(
-        policies.where(here & F.col("pol_stat_cd").isin(*v.PAYING)), links.where(here)
-    ).select("image_date", "cli_num", "pol_num", "wa_cd_1", "agt_code", "pol_iss_dt")
+    terms = pick(
+        policies, "policies", "image_date", "pol_num", "wa_cd_1", "agt_code", "pol_stat_cd", "pol_iss_dt"
+    )
+    paying = owned(terms.where(here & F.col("pol_stat_cd").isin(*v.PAYING)), links.where(here))
     serviced = snapshot_join(
-        paying, agents.where(here).select("image_date", "agt_code", "stat_cd", "comp_prvd_num"), ["agt_code"]
+        paying.drop("pol_stat_cd"), agents.where(here).select("image_date", "agt_code", "stat_cd", "comp_prvd_num"), ["agt_code"]
     )
     newest = latest_by(
         serviced, ["cli_num"], [F.col("pol_iss_dt").desc(), F.col("pol_num").desc()]

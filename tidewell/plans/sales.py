@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..checks import require
+from ..checks import pick, require
 from ..functions.amounts import ape, payments_per_year, vip_tier
 from ..functions.conditions import yn
 from ..functions.dates import DateLike, day, day_shift, quarter_label
@@ -84,7 +84,10 @@ def new_business_value(
     """
     require(rates, "rates", "plan_code", "effective_qtr", *MARGINS)
     require(plan_rates, "plan_rates", "plan_code", *MARGINS)
-    sold = policies.where(
+    sold = pick(
+        policies, "policies", "pol_num", "po_num", "plan_code", "plan_nm", "pol_iss_dt", "pol_stat_cd",
+        "pol_stat_desc", "tot_ape", "wa_code", "dist_chnl_cd",
+    ).where(
         ~F.col("pol_stat_cd").isin(*v.NOT_SOLD)
         & ~F.substring("plan_code", 1, 3).isin(*v.LEAD_EXCLUDED_PLAN_PREFIXES)
     ).withColumn("rate_qtr", quarter_label("pol_iss_dt"))
@@ -302,6 +305,10 @@ def ecommerce_sales(
     )
     seller = agents.select(F.col("agt_code").alias("wa_cd_1"), "loc_code")
     heads = locations.select(F.col("loc_cd").alias("loc_code"), "rh_code", "rh_name")
+    policies = pick(
+        policies, "policies", "pol_num", "agt_code", "wa_cd_1", "plan_code_base", "vers_num_base",
+        "dist_chnl_cd", "pol_iss_dt", "pol_eff_dt", "frst_iss_dt", "pol_stat_cd", "mode_prem", "pmt_mode",
+    )
     issued = policies.where(~F.col("pol_stat_cd").isin(*v.NOT_SOLD))
 
     online = issued.where(

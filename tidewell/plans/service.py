@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..checks import require
+from ..checks import pick, require
 from ..functions.amounts import value_map
 from ..functions.conditions import is_or_null, yn
 from ..functions.dates import DateLike, day, day_shift, since
@@ -175,8 +175,12 @@ def not_taken(
             .drop("cli_num")
         )
 
+    ended = pick(
+        policies, "policies", "pol_num", "sbmt_dt", "pol_eff_dt", "pol_iss_dt", "pol_stat_cd",
+        "plan_code_base", "vers_num_base", "pol_trmn_dt", "cnfrm_acpt_dt", "mode_prem", "pmt_mode", "agt_code",
+    )
     return (
-        policies.where(F.col("pol_trmn_dt").cast("date") >= F.lit(day(start)))
+        ended.where(F.col("pol_trmn_dt").cast("date") >= F.lit(day(start)))
         .join(person("O", "owner"), "pol_num")
         .join(person("I", "insured"), "pol_num")
         .join(
