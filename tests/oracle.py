@@ -60,8 +60,7 @@ def compare(query: Query, spark, con, sf_dir: str):
         if len(a) != len(b):
             problems.append(f"{len(a)} rows against {len(b)}")
         if a != b:
-            only_a = [x for x in a if x not in set(b)][:3]
-            only_b = [x for x in b if x not in set(a)][:3]
+            only_a, only_b = sorted(set(a) - set(b))[:3], sorted(set(b) - set(a))[:3]
             problems.append(f"{sorted(names)}\n    spark only {only_a}\n    sql only   {only_b}")
     return len(got), problems, mid - start, time.time() - mid
 
@@ -76,8 +75,7 @@ def compare_entity(name: str, spark, con, sf_dir: str):
     a, b = rows(df.columns, got), rows(names, cur.fetchall())
     if a == b:
         return len(a), []
-    only_a = [x for x in a if x not in set(b)][:2]
-    only_b = [x for x in b if x not in set(a)][:2]
+    only_a, only_b = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]
     return len(a), [f"{len(a)} against {len(b)} rows; {sorted(names)}\n  spark {only_a}\n  sql {only_b}"]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .dates import ColumnLike, col
 
 MONEY = "decimal(18,2)"
+PREMIUM = "decimal(24,4)"
 
 
 def ape(premium: ColumnLike, mode: ColumnLike) -> Column:
@@ -89,20 +90,21 @@ def adjusted_premium(
     nothing; under a year counts the payments that fell due; single-premium plans count a
     tenth of the premium. A null day count is never at most 21, so running policies are full.
     """
-    d, prem = col(days), col(premium)
-    m = col(mode).cast("int")
-    total = col(full)
+    d, m = col(days), col(mode).cast("int")
+    # One decimal type throughout: mixed ones would be widened at the cost of digits.
+    prem, total, none = (c.cast(PREMIUM) for c in (col(premium), col(full), F.lit(0)))
     due = (
         F.when(m == 3, F.floor(d / 92) + 1)
         .when(m == 6, F.floor(d / 183) + 1)
         .when(m == 1, F.floor(d / 31) + 1)
+        .cast("int")
     )
     regular = (
-        F.when(d <= 21, F.lit(0))
+        F.when(d <= 21, none)
         .when(d.isNull() | (d >= 365) | (m == 12) | due.isNull(), total)
-        .otherwise(prem * due)
+        .otherwise((prem * due).cast(PREMIUM))
     )
-    one_off = F.when(d <= 21, F.lit(0)).otherwise(prem * F.lit("0.1").cast("decimal(2,1)"))
+    one_off = F.when(d <= 21, none).otherwise((prem * F.lit("0.1").cast("decimal(2,1)")).cast(PREMIUM))
     return F.when(single, one_off).otherwise(regular)
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import settle
+
 SLOTS = 64
 
 
@@ -54,20 +56,29 @@ def value_ranks(df: DataFrame, value: str, *, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def _with_rank(df: DataFrame, value: str, out: str, rank: Column, slots: int) -> DataFrame:
-    ranks = value_ranks(df, value, slots=slots).select(F.col(value).alias("__value"), rank.alias(out))
-    return df.join(ranks, df[value] == ranks["__value"], "left").drop("__value")
+def _join_ranks(df: DataFrame, ranks: DataFrame, value: str, **outputs: Column) -> DataFrame:
+    """Add columns made from (above, ties) of the row's value; null values get null."""
+    made = ranks.select(F.col(value).alias("__value"), *[c.alias(n) for n, c in outputs.items()])
+    return df.join(made, df[value] == made["__value"], "left").drop("__value")
+
+
+def _mean_rank() -> Column:
+    return F.floor(F.col("above") + 1 + (F.col("ties") - 1) / 2).cast("bigint")
 
 
 def with_rank(df: DataFrame, value: str, out: str = "rank", *, slots: int = SLOTS) -> DataFrame:
-    """Add the descending rank; ties share the lowest number. Null values get null."""
-    return _with_rank(df, value, out, F.col("above") + 1, slots)
+    """Add the descending rank; ties share the lowest number. Null values get null.
+
+    The input is read several times and therefore settled first; aggregate before ranking.
+    """
+    rows = settle(df)
+    return _join_ranks(rows, value_ranks(rows, value, slots=slots), value, **{out: F.col("above") + 1})
 
 
 def with_mean_rank(df: DataFrame, value: str, out: str = "rank", *, slots: int = SLOTS) -> DataFrame:
     """Add the descending rank; ties get the mean of their places, cut to an integer."""
-    mean = F.floor(F.col("above") + 1 + (F.col("ties") - 1) / 2).cast("bigint")
-    return _with_rank(df, value, out, mean, slots)
+    rows = settle(df)
+    return _join_ranks(rows, value_ranks(rows, value, slots=slots), value, **{out: _mean_rank()})
 
 
 def with_rank_share(
@@ -79,18 +90,16 @@ def with_rank_share(
     )
 
 
-def with_standing(df: DataFrame, value: str, out: str = "standing") -> DataFrame:
+def with_standing(
+    df: DataFrame, value: str, out: str = "standing", *, slots: int = SLOTS
+) -> DataFrame:
     """Add the share of rows below: ``(N - mean rank) / N``, at most 0.99, the lowest set to 0."""
-    ranked = with_mean_rank(df, value, "__rank")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    raw = F.least(
-        F.try_divide((F.col("__n") - F.col("__rank")).cast("double"), F.col("__n").cast("double")),
-        F.lit(0.99),
-    )
-    scored = ranked.withColumn("__n", total).withColumn(out, raw).drop("__n", "__rank")
-    lowest = scored.agg(F.min(out)).scalar()
-    return (
-        scored.withColumn("__low", lowest)
-        .withColumn(out, F.when(F.col(out) == F.col("__low"), 0.0).otherwise(F.col(out)))
-        .drop("__low")
-    )
+    rows = settle(df)
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    ranks = value_ranks(rows, value, slots=slots).withColumn("__n", total.cast("double"))
+    raw = F.least(F.try_divide(F.col("__n") - _mean_rank(), F.col("__n")), F.lit(0.99))
+    scored = ranks.withColumn("__raw", raw)
+    lowest = scored.agg(F.min("__raw")).scalar()
+    scored = scored.withColumn("__low", lowest)
+    final = F.when(F.col("__raw") == F.col("__low"), 0.0).otherwise(F.col("__raw"))
+    return _join_ranks(rows, scored, value, **{out: final})

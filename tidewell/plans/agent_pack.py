@@ -25,6 +25,7 @@ from ..functions.dates import (
 )
 from ..functions.text import cut_percent
 from ..operators.aggregates import Metric, count_if, densify, rolling_kpis, top_list_by
+from ..operators.lineage import settle
 from ..operators.ranks import with_mean_rank, with_rank, with_standing
 from ..operators.windows import latest_by, top_n_by
 from . import values as v
@@ -395,6 +396,7 @@ def agent_page2(kpis: DataFrame, tiers: DataFrame) -> DataFrame:
     own = own.withColumn("tier", F.coalesce("tier", F.lit(v.BASE_TIER))).withColumns(
         {"current_tier": F.col("tier"), "next_tier": next_tier()}
     )
+    own = settle(own)
     premium, riders, owners = F.sum("last_3m_ape"), F.sum("last_3m_rid"), F.sum("last_3m_po")
 
     def means(prefix: str) -> list[Column]:
@@ -496,6 +498,7 @@ def advice(
     triggers its hint. ``text`` replaces the texts of the language.
     """
     words = text or ADVICE_TEXT[lang]
+    kpis, kept = settle(kpis), settle(kept)
     benchmark = (
         kpis.agg(
             ratio(F.sum("last_3m_rid"), F.sum("last_3m_ape")).alias("riders"),

@@ -1,4 +1,4 @@
 """Queries over the driver's tables."""
 
-from . import reports_customers, reports_ledger, reports_service  # noqa: F401
+from . import reports_agents, reports_customers, reports_ledger, reports_service  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
