@@ -185,9 +185,9 @@ select c_custkey as can_num, 'ID' || cast(c_custkey as string) as id_num,
 from {customer}"""
 
 ENTITIES["e_unit"] = """
-select 'U' || cast(cast(floor(s_suppkey / 5) as bigint) as string) as stru_grp_cd,
-  case when s_suppkey % 35 = 0 then 'BR' else 'UN' end as stru_grp_typ, s_suppkey as mgr_cd
-from {supplier} where s_suppkey % 5 = 0"""
+select 'U' || cast(unit as string) as stru_grp_cd, case when unit % 7 = 0 then 'BR' else 'UN' end as stru_grp_typ, mgr_cd
+from (select cast(floor(s_suppkey / 5) as bigint) as unit, min(s_suppkey) as mgr_cd from {supplier}
+  group by cast(floor(s_suppkey / 5) as bigint)) u"""
 
 ENTITIES["e_line"] = """
 select s_suppkey as sub_agt_cd, cast(floor(s_suppkey / 2) as bigint) as agt_cd, 1 as rpt_level from {supplier}
@@ -204,7 +204,7 @@ ENTITIES["e_group"] = f"""
 select {loc("n_nationkey")} as loc_code, cast(n_nationkey % 10 as bigint) as loc_mrg from {{nation}}"""
 
 ENTITIES["e_mgr_map"] = """
-select s_suppkey as dsr_cd, cast(floor(s_suppkey / 3) as bigint) as mgr_cd from {supplier} where s_suppkey % 8 <> 7"""
+select s_suppkey as dsr_cd, cast(floor(s_suppkey / 3) as bigint) as mgr_cd from {supplier} where s_acctbal >= 0"""
 
 ENTITIES["e_location"] = f"""
 select {loc("n_nationkey")} as loc_cd, n_name as loc_desc,
@@ -247,7 +247,7 @@ select distinct
   {version("p_partkey")} as vers_num,
   'Plan ' || cast(p_partkey % 3 as string) || ' of ' || cast(p_partkey % 2 as string) as plan_lng_desc,
   date '{REPORT_DATE}' as image_date
-from {{part}} where p_partkey % 3 <> 2"""
+from {{part}}"""
 
 ENTITIES["e_ledger"] = f"""
 select 'AC' || lpad(cast(l_suppkey as string), 4, '0') as acct_num, l_orderkey as pol_num,
@@ -281,7 +281,7 @@ where r.effective_qtr is not null and not exists (
 ENTITIES["e_plan_rate"] = f"""
 select {plan("p_partkey")} as plan_code, 'G' || cast(p_partkey % 4 as string) as nbv_factor_group,
   {MARGIN_COLUMNS}
-from {{part}} where p_partkey % 22 = 0 and p_partkey < 286"""
+from (select min(p_partkey) as p_partkey from {{part}} group by cast(floor(p_partkey / 22) as bigint) % 16) one_per_plan"""
 
 ENTITIES["e_customer_month"] = f"""
 select c_custkey as po_num,
@@ -327,7 +327,7 @@ from {part}"""
 
 ENTITIES["e_collector"] = """
 select s_suppkey as col_code, case when s_suppkey % 2 = 0 then 'PSA01' else 'COL01' end as col_grp
-from {supplier} where s_suppkey % 5 = 3"""
+from {supplier}"""
 
 ENTITIES["e_user"] = """
 select event_id as _id, case event_id % 4
@@ -339,13 +339,13 @@ from {events} where event_type = 'signup'"""
 ENTITIES["e_member"] = """
 select event_id as userid, event_id * 2 as keyid,
   case when event_id % 3 = 0 then 'active' else 'idle' end as status
-from {events} where event_type = 'signup' and event_id % 10 <> 9"""
+from {events} where event_type = 'signup' and value >= 2"""
 
 ENTITIES["e_key"] = """
 select event_id * 2 as _id, 'M' || cast(user_id as string) as value, cast(event_id % 2 as int) as activated,
   case when event_id % 7 = 0 then 'n/a' else
     cast(date '2000-04-01' + cast(event_id % 90 as int) as string) || ' 10:00:00' end as activationdate
-from {events} where event_type = 'signup' and event_id % 12 <> 11"""
+from {events} where event_type = 'signup' and value < 60"""
 
 ENTITIES["e_claim"] = """
 select 'C' || cast(event_id % 3000 as string) as claim_id, user_id as policy_number,
@@ -362,19 +362,18 @@ select 'C' || cast(event_id % 3000 as string) as claim_id, user_id as policy_num
 from {events}"""
 
 ENTITIES["e_claim_case"] = """
-select 'C' || cast(event_id as string) as name, 'S' || cast(event_id % 500 as string) as case__c
-from {events} where event_id < 3000 and event_id % 3 <> 1"""
+select distinct 'C' || cast(event_id % 3000 as string) as name, 'S' || cast(event_id % 500 as string) as case__c
+from {events} where event_type <> 'view'"""
 
 ENTITIES["e_case"] = """
-select 'S' || cast(event_id as string) as id,
-  case event_id % 3 when 0 then 'Easy Claims' when 1 then 'Branch Submission' end as origin
-from {events} where event_id < 450"""
+select 'S' || cast(k as string) as id, case k % 3 when 0 then 'Easy Claims' when 1 then 'Branch Submission' end as origin
+from (select distinct event_id % 450 as k from {events}) cases"""
 
 ENTITIES["e_new_business"] = f"""
 select pol_num, case when pol_num % 2 = 0 then 'SUBMIT' else 'ISSUE' end as type, sbmt_dt as submit_date,
   pol_iss_dt as issue_date, pol_stat_cd as status_code, cast(pol_num % 15 as bigint) as tat_days,
   plan_code_base as plan_code, nb_user_id as nb_user
-from {{e_policy}} where pol_num % 10 <> 9"""
+from {{e_policy}} where pol_stat_cd <> 'X'"""
 
 ENTITIES["e_weekly_claim"] = """
 select l_orderkey * 10 + l_linenumber as claim_id,
@@ -394,8 +393,8 @@ select pol_num as policy_number, pol_iss_dt as transaction_date,
 from {{e_policy}}"""
 
 ENTITIES["e_lead_user"] = """
-select event_id as id, 'al' || cast(event_id as string) as alias, 'User ' || cast(event_id as string) as name
-from {events} where event_id < 20"""
+select id, 'al' || cast(id as string) as alias, 'User ' || cast(id as string) as name
+from (select distinct event_id % 20 as id from {events}) people"""
 
 ENTITIES["e_lead"] = """
 select 'LEAD' || lpad(cast(event_id as string), 14, '0') as id,
@@ -422,7 +421,7 @@ from {events}"""
 ENTITIES["e_lead_history"] = """
 select id, substr(id, 1, 15) as leadid, createddate, case when ownerid % 3 <> 0 then ownerid end as pol_num,
   date '2000-01-31' + cast(ownerid % 5 as int) as image_date
-from {e_lead} where createdbyid % 2 = 0"""
+from {e_lead} where leadsource = 'web' and phone is not null"""
 
 ENTITIES["e_submission"] = f"""
 select 'api' as source, o_orderkey as pol_num, {money("floor(o_totalprice / 10)")} as batch_trxn_amt,
@@ -430,12 +429,12 @@ select 'api' as source, o_orderkey as pol_num, {money("floor(o_totalprice / 10)"
   case when o_orderkey % 5 <> 0 then 'ORD' || lpad(cast(o_orderkey as string), 8, '0') end as shopee_order_id,
   case when o_orderkey % 2 = 0 then 'done' else 'open' end as case_status, 1 + o_orderkey % 2 as case_count,
   cast(o_orderdate as date) + 1 as api_import_time
-from {{orders}} where o_orderkey % 3 <> 0
+from {{orders}} where o_orderpriority <> '1-URGENT'
 union all
 select 'api', o_orderkey, {money("floor(o_totalprice / 10)")}, cast(o_orderdate as date),
   'ORE' || lpad(cast(o_orderkey as string), 8, '0'),
   case when o_orderkey % 2 = 0 then 'done' else 'open' end, 3, cast(o_orderdate as date) + 2
-from {{orders}} where o_orderkey % 7 = 1"""
+from {{orders}} where o_orderstatus = 'P'"""
 
 ENTITIES["e_scorecard"] = """
 select s.s_suppkey as agt_code, 'Tier ' || cast(s.s_suppkey % 3 as string) as agent_tier,
@@ -469,7 +468,7 @@ select distinct cast(l_shipdate as date) as input_dt, l_orderkey as pol_num,
   'REF' || cast(l_partkey as string) as bank_ref,
   case l_partkey % 4 when 0 then '6' when 1 then '8' else '1' end as service_type,
   'B' || cast(l_suppkey % 4 as string) as pmt_type
-from {lineitem} where l_partkey % 9 <> 0"""
+from {lineitem} where l_quantity > 5"""
 
 ENTITIES["e_online"] = """
 select case when o_orderkey % 3 = 0 then o_orderkey + 100000000 else o_orderkey end as pol_num,
@@ -478,7 +477,7 @@ select case when o_orderkey % 3 = 0 then o_orderkey + 100000000 else o_orderkey
 from {orders}"""
 
 ENTITIES["e_application"] = """
-select o_orderkey + 100000000 as proposal_num, o_orderkey as pol_num from {orders} where o_orderkey % 3 = 0 and o_orderkey % 4 <> 3"""
+select o_orderkey + 100000000 as proposal_num, o_orderkey as pol_num from {orders} where o_orderpriority <> '2-HIGH'"""
 
 ENTITIES["e_cheque_bank"] = """
 select * from (values ('BK0', 'CHQ0'), ('BK1', 'CHQ1'), ('BK3', 'CHQ3'), ('BK4', cast(null as string)))
@@ -504,21 +503,21 @@ select cast(l_shipdate as date) + 3 as trxn_dt, 'BR9' as br_code, l_orderkey as
 from {{lineitem}} where l_returnflag = 'R'"""
 
 ENTITIES["e_exam"] = """
-select 'C' || cast(p_partkey % 12 as string) as class_cd,
+select distinct 'C' || cast(p_partkey % 12 as string) as class_cd,
   date '1995-01-01' + cast((p_partkey % 12) * 100 + (p_partkey % 24) * 3 as int) as exam_dt,
   'EX' || cast(p_partkey % 24 as string) as exam_master_cd
-from {part} where p_partkey < 24"""
+from {part}"""
 ENTITIES["e_class"] = "select distinct 'C' || cast(p_partkey % 12 as string) as cls_num from {part}"
 ENTITIES["e_attend"] = """
 select s_suppkey * 15 as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd from {supplier}
 union all
-select s_suppkey * 15, 'C' || cast((s_suppkey + 5) % 12 as string) from {supplier} where s_suppkey % 2 = 0"""
+select s_suppkey * 15, 'C' || cast((s_suppkey + 5) % 12 as string) from {supplier} where s_acctbal > 4000"""
 ENTITIES["e_result"] = """
 select s_suppkey * 15 as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd, 'EX' as training_cat_cd,
-  date '1996-01-01' + cast(s_suppkey % 300 as int) as eff_dt from {supplier} where s_suppkey % 3 <> 2
+  date '1996-01-01' + cast(s_suppkey % 300 as int) as eff_dt from {supplier} where s_acctbal < 8000
 union all
 select s_suppkey * 15, 'C' || cast((s_suppkey + 5) % 12 as string), case when s_suppkey % 4 = 0 then 'EX' else 'TR' end,
-  date '1996-06-01' + cast(s_suppkey % 300 as int) from {supplier} where s_suppkey % 2 = 0"""
+  date '1996-06-01' + cast(s_suppkey % 300 as int) from {supplier} where s_acctbal > 4000"""
 ENTITIES["e_course"] = """
 select user_id % 100 as agt_code, 'CRS' || cast(event_id % 5 as string) as class_code,
   case when event_id % 4 = 0 then 'P' else 'C' end as stat_cd, cast(ts as date) as end_dt from {events}"""
@@ -546,7 +545,7 @@ select l_orderkey as pol_num, case when l_linenumber = 1 then {plan("l_orderkey"
   case when l_partkey % 7 = 0 then '116' else '115' end as reasn_cd,
   case when l_partkey % 9 <> 0 then {money("floor(l_extendedprice / (1 + l_partkey % 7))")} end as crr_valu
 from {{lineitem}}"""
-ENTITIES["e_commission_bk"] = "select * from {e_commission} where agt_cd % 3 = 0"
+ENTITIES["e_commission_bk"] = "select * from {e_commission} where crr_valu > 20000"
 ENTITIES["e_change_ctl"] = """
 select o_orderkey as pol_num, o_orderkey * 2 as pos_num, cast(o_orderdate as date) + 40 as comp_date,
   cast(o_orderdate as date) + 30 as ho_recv_dt, cast(o_orderdate as date) - 3 as sbmt_date,
@@ -560,12 +559,12 @@ select o_orderkey as pol_num, o_orderkey * 2 as pos_num,
   case when o_orderkey % 8 = 7 then '2' else '1' end as chklst_id, 'R' || cast(o_orderkey % 3 as string) as chklst_result
 from {orders}"""
 ENTITIES["e_pos_batch"] = """
-select o_orderkey as btch_num, 'BC' || cast(o_orderkey % 4 as string) as btch_branch,
-  'S' || cast(o_orderkey % 7 as string) as btch_submit_by from {orders} where o_orderkey < 50"""
-ENTITIES["e_branch"] = "select 'BR' || cast(n_nationkey as string) as br_code from {nation} where n_nationkey % 5 <> 4"
+select k as btch_num, 'BC' || cast(k % 4 as string) as btch_branch, 'S' || cast(k % 7 as string) as btch_submit_by
+from (select distinct o_orderkey % 50 as k from {orders}) batches"""
+ENTITIES["e_branch"] = "select 'BR' || cast(n_nationkey as string) as br_code from {nation} where n_regionkey <> 4"
 ENTITIES["e_termination"] = """
 select o_orderkey as pol_num, cast(o_orderdate as date) + cast(o_orderkey % 200 as int) as trmn_actv_dt
-from {orders} where o_orderkey % 3 <> 1"""
+from {orders} where o_orderstatus <> 'O'"""
 
 ENTITIES["e_med"] = f"""
 select o_orderkey as pol_num, o_orderkey % 3 as med_seq, cast(o_orderdate as date) as med_date,
@@ -574,7 +573,7 @@ select o_orderkey as pol_num, o_orderkey % 3 as med_seq, cast(o_orderdate as dat
   {money("floor(o_totalprice / 100)")} as in_exps from {{orders}}"""
 ENTITIES["e_med_client"] = """
 select o_orderkey as pol_num, o_orderkey % 3 as med_seq, case when o_orderkey % 7 <> 0 then 'Client ' || cast(o_custkey as string) end as ins_nm
-from {orders} where o_orderkey % 6 <> 0"""
+from {orders} where o_orderstatus <> 'P'"""
 ENTITIES["e_med_item"] = """
 select l_orderkey as pol_num, l_orderkey % 3 as med_seq, cast(o.o_orderdate as date) as med_date,
   'H' || cast(l_orderkey % 4 as string) as med_hosp, 'X' || cast(l_linenumber as string) as med_supp_exam
@@ -600,11 +599,11 @@ from {conversations}"""
 ENTITIES["e_service"] = """
 select conv_id * 100 + turn as csd_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
   'ST' || cast(turn % 3 as string) as cisc_status, date '2019-10-05' + cast(conv_id % 300 as int) as comp_dt,
-  'RC' || cast(conv_id % 5 as string) as result_cd, role as cisc_typ from {conversations} where turn % 5 <> 4"""
+  'RC' || cast(conv_id % 5 as string) as result_cd, role as cisc_typ from {conversations} where role <> 'system'"""
 ENTITIES["e_vendor_call"] = """
 select conv_id * 100 + turn as csd_num, conv_id as pol_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
   date '2019-10-03' + cast(conv_id % 300 as int) as import_dt, 'OBC' || cast(turn % 2 as string) as result_obc
-from {conversations} where conv_id % 2 = 0"""
+from {conversations} where role = 'user'"""
 
 # Campaign ids look like CPM-UCM-2024-0117: kind at 5, year at 9, day at 11.
 ENTITIES["e_hit_pair"] = """
@@ -627,13 +626,13 @@ select c_custkey as po_num, case when c_custkey % 5 = 0 then 'DRAFT' else 'APPRO
   cast(c_custkey % 9 as double) / 20 as riders from {customer}"""
 ENTITIES["e_tier"] = """
 select s_suppkey as agt_code, s_suppkey as agt_cd,
-  case s_suppkey % 4 when 1 then 'MDRT' when 2 then 'COT' else 'TOT' end as tier
-from {supplier} where s_suppkey % 4 <> 0"""
-ENTITIES["e_programme"] = "select s_suppkey as agt_cd, s_suppkey % 40 + 50 as m19_per from {supplier} where s_suppkey % 9 <> 8"
+  case s_suppkey % 4 when 1 then 'MDRT' when 2 then 'COT' when 3 then 'TOT' else 'Platinum' end as tier
+from {supplier} where s_acctbal > 1000"""
+ENTITIES["e_programme"] = "select s_suppkey as agt_cd, s_suppkey % 40 + 50 as m19_per from {supplier} where s_acctbal > -500"
 ENTITIES["e_allowance"] = """
 select s_suppkey as agt_cd, case when s_suppkey % 3 <> 0 then s_suppkey % 5 * 1000 end as monthly_allowance,
   case when s_suppkey % 11 <> 0 then '1999' || lpad(cast(s_suppkey % 12 + 1 as string), 2, '0') end as qualify_date
-from {supplier} where s_suppkey % 6 <> 5"""
+from {supplier} where s_acctbal < 9000"""
 ENTITIES["e_pack_claim"] = f"""
 select l_orderkey * 10 + l_linenumber as clm_id, l_orderkey as pol_num, cast(l_shipdate as date) as clm_recv_dt,
   case l_partkey % 4 when 0 then 'A' when 1 then 'I' when 2 then 'A' else 'R' end as clm_stat_code,
