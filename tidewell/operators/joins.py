@@ -138,19 +138,20 @@ def interval_join(
     low: int,
     high: int,
     *,
-    row_key: Sequence[str] | None = None,
+    how: str = "inner",
 ) -> DataFrame:
     """Pairs of rows with equal keys where ``date_b`` is ``low`` to ``high`` days after ``date_a``.
 
-    The time axis is cut into slots as wide as the interval. Each row of ``a`` looks into the
-    one or two slots its interval touches, so only near pairs are formed and a key that holds
-    a large part of the rows is spread over its slots.
-
-    With ``row_key``, the columns that tell the rows of ``a`` apart, unmatched rows of ``a``
-    are kept (a left join). The two inputs must not share column names.
+    The time axis is cut into slots as wide as the interval. A row of ``a`` lies in the one
+    slot of its date; a row of ``b`` is put into the one or two slots it can be reached from.
+    So only near pairs are formed, every pair meets once, and a key that holds a large part
+    of the rows is spread over its slots. ``how`` is ``inner`` or ``left``; the two inputs
+    must not share column names.
     """
     if high < low:
         raise ValueError("interval is empty")
+    if how not in ("inner", "left"):
+        raise ValueError("interval_join is inner or left")
     shared = set(a.columns) & set(b.columns)
     if shared:
         raise ValueError(f"interval_join inputs share columns {sorted(shared)}")
@@ -160,28 +161,18 @@ def interval_join(
     def slot(date: Column) -> Column:
         return F.floor(F.datediff(date, epoch) / width).cast("int")
 
-    lhs = a if row_key is None else a.select(*dict.fromkeys([*row_key, date_a, *[k for k, _ in on]]))
-    spread = lhs.withColumn(
-        "__slot",
-        F.explode(
-            F.array_distinct(
-                F.array(slot(F.date_add(F.col(date_a), low)), slot(F.date_add(F.col(date_a), high)))
-            )
-        ),
+    placed = a.withColumn("__slot", slot(F.col(date_a)))
+    reached = F.array(slot(F.date_sub(F.col(date_b), high)), slot(F.date_sub(F.col(date_b), low)))
+    spread = b.where(F.col(date_b).isNotNull()).withColumn(
+        "__slot_b", F.explode(F.array_distinct(reached))
     )
-    slotted = b.withColumn("__slot_b", slot(F.col(date_b)))
     condition = reduce(
         lambda x, y: x & y,
         [F.col(ka) == F.col(kb) for ka, kb in on],
         (F.col("__slot") == F.col("__slot_b"))
         & F.datediff(F.col(date_b), F.col(date_a)).between(low, high),
     )
-    pairs = spread.join(slotted, condition, "inner").drop("__slot", "__slot_b")
-    if row_key is None:
-        return pairs
-    matched = pairs.select(*[F.col(k).alias(f"__{k}") for k in row_key], *b.columns)
-    same_row = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in row_key])
-    return a.join(matched, same_row, "left").drop(*[f"__{k}" for k in row_key])
+    return placed.join(spread, condition, how).drop("__slot", "__slot_b")
 
 
 def snapshot_join(

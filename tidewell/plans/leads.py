@@ -12,7 +12,6 @@ from ..functions.conditions import any_not_null, null_when, yn
 from ..functions.dates import DateLike, day
 from ..functions.text import fold, last_chars, keep_alnum, like_any, normalize_phone
 from ..operators.joins import interval_join
-from ..operators.sets import stack_distinct, unfold_distinct
 
 LEAD_SOURCE = (
     "id", "createddate", "lastname", "phone", "email", "state", "leadsource", "description",
@@ -80,22 +79,33 @@ def clean_leads(leads: DataFrame, users: DataFrame, excluded_patterns: Sequence[
     )
 
 
-def sale_phones(sales: DataFrame, clients: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Sales once per distinct phone of their owner, from up to three phone columns."""
-    phones = ["mobl_phon_num", "prim_phon_num", "othr_phon_num"]
-    people = unfold_distinct(
-        clients.select("cli_num", "cli_nm", *phones),
-        [normalize_phone(p) for p in phones],
-        "phone_key",
-    ).select("cli_num", "cli_nm", F.col("phone_key").alias("mobl_phon_num"))
-    return _sale_contacts(sales, people, contacts).distinct()
+PHONES = ("mobl_phon_num", "prim_phon_num", "othr_phon_num")
 
 
-def _sale_contacts(sales: DataFrame, people: DataFrame, contacts: DataFrame) -> DataFrame:
+def sale_contacts(sales: DataFrame, clients: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Sales once per contact key of their owner: each distinct phone, and the e-mail address.
+
+    Adds route ('phone' or 'email') and key to the sale's columns. A phone entry shows that
+    phone, the e-mail entry the mobile one.
+    """
+    phones = F.array_distinct(F.array_compact(F.array(*[normalize_phone(p) for p in PHONES])))
+    people = clients.select(
+        "cli_num", "cli_nm", phones.alias("phones"), normalize_phone("mobl_phon_num").alias("mobile")
+    )
+
+    def entry(route: str, key, phone):
+        return F.struct(F.lit(route).alias("route"), key.alias("key"), phone.alias("phone"))
+
+    by_phone = F.transform("phones", lambda p: entry("phone", p, p))
+    by_email = F.when(
+        F.col("email_addr").isNotNull(), entry("email", fold("email_addr"), F.col("mobile"))
+    )
     return (
         sales.join(people, F.col("po_num") == F.col("cli_num"))
         .join(contacts.select("cli_num", "email_addr"), "cli_num", "left")
-        .select(*SALE_TEXT, *SALE_AMOUNTS)
+        .withColumn("entry", F.explode(F.array_compact(F.concat(by_phone, F.array(by_email)))))
+        .withColumn("mobl_phon_num", F.col("entry.phone"))
+        .select(*SALE_TEXT, *SALE_AMOUNTS, "entry.route", "entry.key")
     )
 
 
@@ -114,41 +124,35 @@ def attribute_leads(
     :func:`clean_leads`, ``sales`` from ``new_business_value``; clients (cli_num, cli_nm and
     three phone columns), contacts (cli_num, email_addr).
     """
-    require(clients, "clients", "cli_num", "cli_nm", "mobl_phon_num", "prim_phon_num", "othr_phon_num")
-    by_phone = sale_phones(sales, clients, contacts)
-    by_email = _sale_contacts(
-        sales,
-        clients.select("cli_num", "cli_nm", normalize_phone("mobl_phon_num").alias("mobl_phon_num")),
-        contacts.where(F.col("email_addr").isNotNull()),
-    ).where(F.col("email_addr").isNotNull())
+    require(clients, "clients", "cli_num", "cli_nm", *PHONES)
     sale_cols = [*SALE_TEXT, *SALE_AMOUNTS]
-
-    def route(side: DataFrame, lead_key, sale_key, days: tuple[int, int]) -> DataFrame:
-        right = side.select(*[F.col(c).alias(f"s_{c}") for c in sale_cols], sale_key.alias("s_key"))
-        left = leads.select("id", "createddate", "status", lead_key.alias("l_key"))
-        pairs = interval_join(
-            left.where(F.col("l_key").isNotNull()),
-            right.where(F.col("s_key").isNotNull()),
-            [("l_key", "s_key")],
-            "createddate",
-            "s_pol_iss_dt",
-            *days,
-        )
-        blanked = null_when(
-            pairs,
-            F.lower(F.trim("status")).contains("duplicate"),
-            [f"s_{c}" for c in SALE_TEXT],
-            [f"s_{c}" for c in SALE_AMOUNTS],
+    sold = sale_contacts(sales, clients, contacts)
+    sold = sold.toDF(*[f"s_{c}" for c in sold.columns])
+    lead_keys = F.array_compact(
+        F.array(
+            *[
+                F.when(key.isNotNull(), F.struct(F.lit(route).alias("route"), key.alias("key")))
+                for route, key in (("phone", F.col("phone")), ("email", fold("email")))
+            ]
         )
-        return blanked.select("id", *[F.col(f"s_{c}").alias(c) for c in sale_cols])
-
-    matched = stack_distinct(
-        [
-            route(by_phone, F.col("phone"), F.col("mobl_phon_num"), phone_days),
-            route(by_email, fold("email"), fold("email_addr"), email_days),
-        ]
     )
-    return leads.join(matched, "id", "left").select(*LEAD, *sale_cols)
+    asked = leads.select("id", "createddate", "status", F.explode(lead_keys).alias("e")).select(
+        "id", "createddate", "status", "e.route", "e.key"
+    )
+    # Both routes meet in one join over the wider interval; each then keeps its own.
+    low, high = (pick(phone_days[i], email_days[i]) for i, pick in enumerate((min, max)))
+    pairs = interval_join(
+        asked, sold, [("route", "s_route"), ("key", "s_key")], "createddate", "s_pol_iss_dt", low, high
+    )
+    gap = F.datediff("s_pol_iss_dt", "createddate")
+    within = F.when(F.col("route") == "phone", gap.between(*phone_days)).otherwise(gap.between(*email_days))
+    matched = null_when(
+        pairs.where(within),
+        F.lower(F.trim("status")).contains("duplicate"),
+        [f"s_{c}" for c in SALE_TEXT],
+        [f"s_{c}" for c in SALE_AMOUNTS],
+    ).select("id", *[F.col(f"s_{c}").alias(c) for c in sale_cols])
+    return leads.join(matched.distinct(), "id", "left").select(*LEAD, *sale_cols)
 
 
 def lead_history(matched: DataFrame, history: DataFrame, as_of: DateLike) -> DataFrame:

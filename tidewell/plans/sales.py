@@ -402,7 +402,7 @@ def ecommerce_sales(
         "iss_dt_upsell",
         1,
         upsell_days,
-        row_key=sales.columns,
+        how="left",
     )
     was_new = F.col("first_issue").isNull() | ~F.coalesce(
         F.col("pol_iss_dt") > F.col("first_issue"), F.lit(False)

@@ -148,7 +148,7 @@ def j13_left(t: Tables):
     claims = t.e_pack_claim.select("clm_id", F.col("pol_num").alias("claimed"), "clm_recv_dt")
     return interval_join(
         t.e_policy.select("pol_num", "pol_iss_dt"), claims, [("pol_num", "claimed")], "pol_iss_dt", "clm_recv_dt",
-        0, 365, row_key=["pol_num"],
+        0, 365, how="left",
     )
 
 

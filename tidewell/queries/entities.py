@@ -129,8 +129,8 @@ select c_custkey as cli_num, c_name as cli_nm,
   case when c_custkey % 17 <> 0 then date '1930-01-01' + cast((c_custkey * 37) % 26000 as int) end as birth_dt,
   'ID' || cast(c_custkey as string) as id_num,
   case when c_custkey % 7 <> 0
-    then '+84 (9) ' || lpad(cast(c_custkey % 400 as string), 8, '7') end as mobl_phon_num,
-  case when c_custkey % 3 = 0 then '0' || lpad(cast(c_custkey % 500 as string), 9, '3') end as prim_phon_num,
+    then '+84 (9) ' || lpad(cast(c_custkey as string), 8, '0') end as mobl_phon_num,
+  case when c_custkey % 3 = 0 then '09' || lpad(cast(cast(floor(c_custkey / 2) as bigint) as string), 8, '0') end as prim_phon_num,
   case when c_custkey % 5 = 0 then '12-' || cast(c_custkey % 90 as string) end as othr_phon_num,
   case when c_custkey % 4 = 0 then '01' else '02' end as sms_stat_cd,
   case when c_custkey % 6 <> 0 then 'user' || cast(c_custkey as string) || '@mail.example' end as email_addr,
@@ -260,23 +260,15 @@ select 'AC' || lpad(cast(l_suppkey as string), 4, '0') as acct_num, l_orderkey a
   case l_partkey % 5 when 0 then 'N' when 1 then 'X' when 2 then 'A' when 3 then 'N' else 'Z' end as extract_typ
 from {{lineitem}}"""
 
+# One rate per plan and quarter of 1995 to 2001, valid from one of the quarter's first days.
 ENTITIES["e_rate_quarter"] = f"""
-select {plan("p_partkey")} as plan_code, 'G' || cast(p_partkey % 4 as string) as nbv_factor_group,
-  date '1995-01-01' + cast((cast(floor(p_partkey / 352) as bigint) * 91 + (p_partkey % 22) * 111) % 2400 as int)
-    as effective_date,
-  cast(1995 + p_partkey % 7 as string) || ' Q' || cast(cast(floor(p_partkey / 7) as bigint) % 4 + 1 as string)
-    as effective_qtr,
-  p_type as customer_needs, {MARGIN_COLUMNS}
-from {{part}}"""
-
-ENTITIES["e_rate_once"] = """
-select * from {e_rate_quarter} r
-where r.effective_qtr is not null and not exists (
-  select 1 from {e_rate_quarter} o where o.plan_code = r.plan_code and o.effective_qtr = r.effective_qtr
-    and (o.effective_date < r.effective_date
-      or (o.effective_date = r.effective_date and o.nbv_margin_agency < r.nbv_margin_agency)
-      or (o.effective_date = r.effective_date and o.nbv_margin_agency = r.nbv_margin_agency
-        and o.nbv_margin_dmtm < r.nbv_margin_dmtm)))"""
+select plan_code, 'G' || cast(p_partkey % 4 as string) as nbv_factor_group,
+  cast(cast(1995 + cast(floor(k / 4) as bigint) as string) || '-' || lpad(cast(k % 4 * 3 + 1 as string), 2, '0') || '-01' as date)
+    + cast(p_partkey % 9 as int) as effective_date,
+  cast(1995 + cast(floor(k / 4) as bigint) as string) || ' Q' || cast(k % 4 + 1 as string) as effective_qtr,
+  'Need ' || cast(p_partkey % 5 as string) as customer_needs, {MARGIN_COLUMNS}
+from (select {plan("p_partkey")} as plan_code, p_partkey % 28 as k, min(p_partkey) as p_partkey from {{part}}
+  group by {plan("p_partkey")}, p_partkey % 28) one_per_quarter"""
 
 ENTITIES["e_plan_rate"] = f"""
 select {plan("p_partkey")} as plan_code, 'G' || cast(p_partkey % 4 as string) as nbv_factor_group,
@@ -399,11 +391,11 @@ from (select distinct event_id % 20 as id from {events}) people"""
 ENTITIES["e_lead"] = """
 select 'LEAD' || lpad(cast(event_id as string), 14, '0') as id,
   date '1999-06-01' + cast(event_id % 400 as int) as createddate,
-  case when event_id % 4 = 0 then upper(' customer#' || lpad(cast(event_id % 1500 as string), 9, '0'))
+  case when event_id % 4 = 0 then upper(' customer#' || lpad(cast(user_id * 10 + event_id % 10 as string), 9, '0'))
     else 'Name ' || cast(user_id as string) end as lastname,
   case when event_id % 9 = 0 then cast(null as string)
-    else '84 9-' || lpad(cast(event_id % 400 as string), 8, '7') end as phone,
-  case when event_id % 5 = 0 then ' USER' || cast(event_id % 1500 as string) || '@Mail.Example ' end as email,
+    else '84 9-' || lpad(cast(user_id * 10 + event_id % 10 as string), 8, '0') end as phone,
+  case when event_id % 5 = 0 then ' USER' || cast(user_id * 10 + event_id % 10 as string) || '@Mail.Example ' end as email,
   'ST' || cast(user_id % 5 as string) as state, 'web' as leadsource, props as description,
   case when event_id % 3 = 0 then 'false' else 'true' end as iscustomer__c,
   case event_id % 5 when 0 then 'New' when 1 then ' Duplicate lead' when 2 then 'Open'
