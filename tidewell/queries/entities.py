@@ -198,7 +198,8 @@ ENTITIES["e_rpt"] = """
 select s.s_suppkey as sub_agt_cd,
   case when s.s_suppkey % 25 = 24 then cast(null as bigint) else (s.s_suppkey * 7 + lv.level) % 10 end as agt_cd,
   lv.level as rpt_level
-from {supplier} s join (values (1), (2), (3), (4), (5)) as lv(level) on lv.level <= 3 + s.s_suppkey % 3"""
+from {supplier} s join (values (0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (2, 5))
+  as lv(kind, level) on lv.kind = s.s_suppkey % 3"""
 
 ENTITIES["e_group"] = f"""
 select {loc("n_nationkey")} as loc_code, cast(n_nationkey % 10 as bigint) as loc_mrg from {{nation}}"""
@@ -431,7 +432,8 @@ from {{orders}} where o_orderstatus = 'P'"""
 ENTITIES["e_scorecard"] = """
 select s.s_suppkey as agt_code, 'Tier ' || cast(s.s_suppkey % 3 as string) as agent_tier,
   last_day(date '2000-01-01' + cast(m.k * 31 - 15 as int)) as monthend_dt
-from {supplier} s join (values (1), (2), (3), (4), (5)) as m(k) on m.k <= 2 + s.s_suppkey % 4"""
+from {supplier} s join (values (0, 1), (0, 2), (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (3, 2), (3, 3),
+  (3, 4), (3, 5)) as m(kind, k) on m.kind = s.s_suppkey % 4"""
 
 ENTITIES["e_batch_header"] = """
 select cast(l_shipdate as date) as trxn_dt, l_suppkey as btch_num, 'C' as btch_role,
