@@ -10,13 +10,30 @@ from pyspark.sql import functions as F
 from ..checks import require
 
 
-def _input_paths(df: DataFrame) -> set[str]:
-    return {f.split("://")[-1].split(":", 1)[-1].replace("///", "/") for f in df.inputFiles()}
+def _bare(path: str) -> str:
+    """The path without its scheme and with one trailing slash."""
+    tail = path.split("://", 1)[-1] if "://" in path else path.split(":", 1)[-1]
+    return "/" + tail.strip("/") + "/"
 
 
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.split("://")[-1].split(":", 1)[-1].replace("///", "/").rstrip("/") + "/"
-    return any(f.startswith(target) for f in _input_paths(df))
+    """True when a file scan of the plan is rooted at, above or below ``path``.
+
+    Only the roots of the scans are looked at; files are not listed.
+    """
+    target = _bare(path)
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        for root in relation.location().rootPaths().mkString("\n").splitlines():
+            if _bare(root).startswith(target) or target.startswith(_bare(root)):
+                return True
+    return False
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
