@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..checks import require
+from ..checks import pick, require
 from ..functions.amounts import MONEY, adjusted_premium, ape, mean_of, owner_relation, value_map
 from ..functions.conditions import flag
 from ..functions.dates import DateLike, day, month_index, month_number, months_apart, week_number
@@ -67,56 +67,58 @@ def coverage_fact(
     ``last_n_month_eff_cvg`` is -1 for the report month. Premium is cut for policies that
     ended in their first year, in full units. Only coverages whose policy has an owner count.
     """
-    require(coverages, "coverages", "pol_num", "cli_num", "plan_code", "cvg_prem", "cvg_typ",
-            "cvg_eff_dt", "cvg_del_dt", "cvg_stat_cd", "rel_to_insrd")
-    require(policies, "policies", "pol_num", "wa_cd_1", "pol_eff_dt", "pol_trmn_dt", "pmt_mode",
-            "pol_stat_cd", "pd_to_dt")
     run = day(as_of)
     this_month = F.lit(month_number(run))
 
+    # Everything known per agent, then per policy, is joined at that level; the coverages,
+    # by far the most rows, meet only policies, insured clients and plans.
     staff = agency_agents(agents)
     staff = lookup(staff, candidates, "can_num", "can_num", "id_num", "agt_id_num")
-    staff = staff.select(F.col("agt_code").alias("wa_cd_1"), "agt_join_dt", "agt_id_num")
-    # Client numbers of people who are agents themselves.
-    agent_ids = candidates.select("id_num").where(F.col("id_num").isNotNull()).distinct()
-
-    sold = (
-        policies.join(staff, "wa_cd_1")
-        .withColumn("pmt_mode", F.col("pmt_mode").cast("int"))
-        .select("pol_num", "wa_cd_1", "agt_join_dt", "agt_id_num", "pol_eff_dt", "pol_trmn_dt",
-                "pmt_mode", "pol_stat_cd", "pd_to_dt")
-    )
-    owners = links.where((F.col("link_typ") == "O") & (F.col("rec_status") == "A"))
-    owner_of = owners.groupBy("pol_num").agg(F.max("cli_num").alias("po_num"))
-
-    fact = (
-        coverages.select("pol_num", "cli_num", "plan_code", "cvg_prem", "cvg_typ", "cvg_eff_dt",
-                         "cvg_del_dt", "cvg_stat_cd", "rel_to_insrd")
-        .join(sold, "pol_num")
-        .join(owner_of, "pol_num")
-    )
-    fact = with_first_flag(
-        fact, "po_num", [F.col("pol_eff_dt"), F.col("pol_num")], "pol_num", "if_first_pol", "repeat_sales"
-    )
-    fact = fact.where((F.col("cvg_eff_dt") <= F.lit(run)) & (F.col("pol_eff_dt") <= F.lit(run)))
+    staff = lookup(staff, tiers, "agt_code", "agt_code", "tier", "tier", default=v.BASE_TIER)
+    staff = staff.select(F.col("agt_code").alias("wa_cd_1"), "agt_join_dt", "agt_id_num", "tier")
 
     person = clients.select(
         "cli_num",
         (F.lit(run.year) - F.year("birth_dt")).alias("age"),
         F.upper("sex_code").alias("sex"),
+        "id_num",
+    )
+    owner = person.drop("id_num").toDF("po_num", "po_age_this_year", "po_gender")
+    # Clients who are agents themselves show their id number.
+    agent_ids = candidates.select(F.col("id_num").alias("agent_id")).dropna().distinct()
+    insured = person.join(agent_ids, F.col("id_num") == F.col("agent_id"), "left").select(
+        "cli_num",
+        F.col("age").alias("in_age_this_year"),
+        F.col("sex").alias("ins_gender"),
+        F.col("agent_id").alias("cli_id_num_agt_buy"),
     )
-    own_id = clients.join(agent_ids, "id_num", "left_semi").select(
-        "cli_num", F.col("id_num").alias("cli_id_num_agt_buy")
+    owners = links.where((F.col("link_typ") == "O") & (F.col("rec_status") == "A"))
+    owner_of = owners.groupBy("pol_num").agg(F.max("cli_num").alias("po_num"))
+
+    held = (
+        pick(
+            policies, "policies", "pol_num", "wa_cd_1", "pol_eff_dt", "pol_trmn_dt", "pmt_mode",
+            "pol_stat_cd", "pd_to_dt",
+        )
+        .withColumn("pmt_mode", F.col("pmt_mode").cast("int"))
+        .join(staff, "wa_cd_1")
+        .join(owner_of, "pol_num")
+        .join(coverages.select("pol_num"), "pol_num", "left_semi")
+    )
+    held = with_first_flag(
+        held, "po_num", [F.col("pol_eff_dt"), F.col("pol_num")], "pol_num", "if_first_pol", "repeat_sales"
     )
-    owner = person.toDF("po_num", "po_age_this_year", "po_gender")
-    insured = person.toDF("cli_num", "in_age_this_year", "ins_gender")
+    held = held.where(F.col("pol_eff_dt") <= F.lit(run)).join(owner, "po_num", "left")
     fact = (
-        fact.join(owner, "po_num", "left")
+        pick(
+            coverages, "coverages", "pol_num", "cli_num", "plan_code", "cvg_prem", "cvg_typ",
+            "cvg_eff_dt", "cvg_del_dt", "cvg_stat_cd", "rel_to_insrd",
+        )
+        .where(F.col("cvg_eff_dt") <= F.lit(run))
+        .join(held, "pol_num")
         .join(insured, "cli_num", "left")
-        .join(own_id, "cli_num", "left")
         .join(plan_margins(margins, run), "plan_code", "left")
-    )
-    fact = lookup(fact, tiers, "wa_cd_1", "agt_code", "tier", "tier", default=v.BASE_TIER)
+    )
 
     ended = F.least("pol_trmn_dt", "cvg_del_dt")
     same_person = F.coalesce(F.col("po_num") == F.col("cli_num"), F.lit(False))
