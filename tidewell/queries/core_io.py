@@ -17,7 +17,7 @@ from .registry import Tables, query
 
 def fresh(t: Tables, name: str) -> str:
     """A new folder of its own in the shared folder."""
-    return f"{shared_dir(t.spark, '/tmp/tidewell')}/tidewell-{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(t.spark)}/tidewell-{name}-{uuid.uuid4().hex}"
 
 
 @query("s01_s09_read_columns", "o_orderkey:l o_totalprice:d", "select o_orderkey, o_totalprice from orders")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,14 +34,25 @@ def build_session(app: str = "tidewell", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that any folder is shared."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
-    ``fallback`` is used only where that setting is absent, as in tests.
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, the session's checkpoint folder; where there is none either and the
+    session runs in one process (tests, a laptop), a new temporary one. On a cluster without
+    the setting this raises: a folder of one machine would lose the other executors' files.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not fallback:
-        raise ValueError("spark.checkpoint.dir is not set; name a shared folder there")
-    return os.fspath(fallback).rstrip("/")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not on_one_machine(spark):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+        named = tempfile.mkdtemp(prefix="checkpoints-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
