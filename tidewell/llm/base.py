@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +66,12 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def batches(frames: Iterator, size: int) -> Iterator:
-    """Arrow batches of at most ``size`` rows."""
-    for frame in frames:
-        for start in range(0, frame.num_rows, size):
-            yield frame.slice(start, size)
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, as PYTHONPATH would.
+
+    A cluster that installs the package, or is given it with ``--py-files``, doesn't need it.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rules
-from .base import table
+from . import rules, token_counts
+from .base import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +17,11 @@ SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(build):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            share_code(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = functools.wraps(build)(run)
         if sql is not None:
             SQL[name] = sql
         return build
@@ -31,3 +37,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, labels).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
+
+
+@register("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against the library's own counts."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
