@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rules, token_counts
+from . import pieces, rules, token_counts
 from .base import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against the library's own counts."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+@register("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against the library's ids and decoded texts."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pieces.digests(pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model")))

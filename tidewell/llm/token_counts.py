@@ -60,7 +60,7 @@ class _Counter:
         )
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.unproven = "|".join([UNPROVEN, *special])
-        self.memory = Memory(self.lengths)
+        self.memory = Memory(lambda units: (np.array(self.lengths(units), np.int32), np.ones(len(units), np.int64)))
 
     def lengths(self, units: list[str]) -> list[int]:
         return [len(e) for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
@@ -131,7 +131,8 @@ def token_counts(
                 known = at.is_valid().to_numpy(zero_copy_only=False)
                 sizes = np.zeros(len(cut.units), np.int64)
                 sizes[known] = lengths[at.drop_null().to_numpy()]
-                sizes[~known] = counter.memory.of(cut.units.filter(pa.array(~known)).to_pylist())
+                rest = counter.memory.places(cut.units.filter(pa.array(~known)).to_pylist())
+                sizes[~known] = counter.memory.flat[counter.memory.starts[rest]]
                 n[proven] = per_text(sizes[cut.codes], cut.offsets)
             if not proven.all():
                 n[~proven] = counter.lengths(texts.filter(pa.array(~proven)).to_pylist())

@@ -8,6 +8,7 @@ reach an encoder. A worker's memory of units is bounded and only saves time.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are worked on together, and units that a worker remembers.
 CHUNK_BYTES = 4 << 20
-REMEMBERED = 400_000
-#: Longer units are coded each time they are met.
-LONGEST_REMEMBERED = 64
+REMEMBERED = 500_000
 
 
 def strings(column) -> pa.Array:
@@ -53,33 +52,43 @@ class Cut:
 
 
 class Memory:
-    """What an encoder returned for units, up to a bound."""
-
-    def __init__(self, encode_many: Callable[[list[str]], list], bound: int = REMEMBERED):
-        self.encode_many, self.bound, self.known = encode_many, bound, {}
-
-    def of(self, units: list[str]) -> list:
-        got = [*map(self.known.get, units)]
-        missing = [i for i, v in enumerate(got) if v is None]
-        if missing:
-            if len(self.known) + len(missing) > self.bound:
-                self.known.clear()
-            for i, v in zip(missing, self.encode_many([units[i] for i in missing]), strict=True):
-                got[i] = v
-                if len(units[i]) <= LONGEST_REMEMBERED and len(self.known) < self.bound:
-                    self.known[units[i]] = v
-        return got
-
-
-def spread(parts: list[np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The parts the codes name, end to end, and the length of each."""
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    starts = np.cumsum(sizes) - sizes
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    lengths = sizes[codes]
-    ends = np.cumsum(lengths)
-    at = np.repeat(starts[codes] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return flat[at], lengths
+    """What an encoder returned for units, end to end in one array, up to a bound."""
+
+    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], bound: int = REMEMBERED):
+        self.encode_many, self.bound = encode_many, bound
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """Where ``starts`` and ``sizes`` have each unit; valid until the next call."""
+        if len(self.starts) + len(units) > self.bound or self.used > 16 * self.bound:
+            self.forget()
+        at = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [units[i] for i in missing]
+            flat, sizes = self.encode_many(new)
+            while self.used + len(flat) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used : self.used + len(flat)] = flat
+            at[missing] = np.arange(len(self.starts), len(self.starts) + len(new))
+            self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.used += len(flat)
+            self.known.update(zip(new, at[missing].tolist(), strict=True))
+        return at
+
+    def spread(self, units: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the coded units stand for, end to end, and the length of each."""
+        at = self.places(units)
+        lengths = self.sizes[at][codes]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[at][codes] - ends + lengths, lengths)
+        return self.flat[shift + np.arange(len(shift))], lengths
 
 
 def per_text(lengths: np.ndarray, offsets: np.ndarray) -> np.ndarray:
