@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, rules, token_counts
-from .base import share_code, table
+from . import pieces, rules, token_counts, token_files
+from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +51,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against the library's ids and decoded texts."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return pieces.digests(pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@register("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against the library's own ids."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    files = folder(spark, "token-files")
+    token_files.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), files, end_id=1)
+    return token_files.read_token_files(spark, files, ids=False)
