@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, rules, token_counts, token_files
+from . import discriminant, pieces, rules, token_counts, token_files
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = folder(spark, "token-files")
     token_files.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), files, end_id=1)
     return token_files.read_token_files(spark, files, ids=False)
+
+
+@register("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores are learned; tested by accuracy on the rows held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    model = discriminant.fit(docs, labels, rows=lambda key: ~discriminant.held_out(key))
+    return discriminant.scored(docs, model).select(
+        "doc_id", discriminant.held_out(docs["doc_id"]).alias("held_out"), "score", "predicted"
+    )
