@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import discriminant, pieces, rules, token_counts, token_files
+from . import discriminant, pieces, rules, simhash, token_counts, token_files
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discriminant.scored(docs, model).select(
         "doc_id", discriminant.held_out(docs["doc_id"]).alias("held_out"), "score", "predicted"
     )
+
+
+@register("op6_simhash_golay")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against all pairs by brute force."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
