@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import discriminant, pieces, rules, simhash, token_counts, token_files
+from . import discriminant, licences, pieces, rules, simhash, token_counts, token_files
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against all pairs by brute force."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op10_licence_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against a plain scan."""
+    return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
