@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import discriminant, licences, pieces, rules, simhash, token_counts, token_files
+from . import discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against a plain scan."""
     return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op9_source_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draws are pseudorandom; tested against the same mix worked out word by word."""
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
