@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files
+from . import chat, discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The draws are pseudorandom; tested against the same mix worked out word by word."""
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+PROBE = "</s>[INST] ok [/INST]"
+CHAT_SQL = rf"""
+with given as (
+  select conv_id as conv, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{PROBE}' union all select -1, 1, 'assistant', '{PROBE}'
+),
+counted as (
+  select *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {chat.MARKS} as tokens,
+    row_number() over (partition by conv order by turn nulls first, role, text) as ord
+  from given
+),
+summed as (
+  select *, sum(tokens) over (partition by conv order by ord) as until,
+    min(case when role = 'system' then ord end) over (partition by conv) as s_ord
+  from counted
+),
+stepped as (
+  select *, until - tokens as since, greatest(({chat.BUDGET} - {chat.HISTORY}
+      - coalesce(max(case when ord = s_ord then tokens end) over (partition by conv), 0)) // 2, {chat.LEAST_STEP}) as step
+  from summed
+),
+line as (
+  select *, (since // step) * 2 + case when tokens > step then 1 else 0 end as w,
+    length('<s>[INST][/INST]</s>')
+      + length(regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+      + length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) as chars
+  from stepped
+),
+opened as (select conv, w, min(ord) as first_ord, min(since) as begins, any_value(s_ord) as s_ord from line group by all),
+members as (
+  select conv, chars from line
+  union all
+  select o.conv, l.chars from opened o join line l on l.conv is not distinct from o.conv
+    and l.until <= o.begins and l.since >= o.begins - {chat.HISTORY} and l.ord is distinct from o.s_ord
+  union all
+  select o.conv, l.chars from opened o join line l on l.conv is not distinct from o.conv and l.ord = o.s_ord and o.s_ord < o.first_ord
+),
+sized as (select conv, sum(chars) as formatted_chars from members group by conv),
+said as (
+  select conv, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by ord)) as turns_sha256,
+    coalesce(string_agg(text, '' order by ord) filter (role = 'assistant'), '') as targets
+  from line group by conv
+)
+select a.conv as conv_id, cast(n_turns as bigint) as n_turns, turns_sha256, cast(length(targets) as bigint) as loss_chars,
+  sha256(targets) as loss_sha256, cast(formatted_chars as bigint) as formatted_chars
+from said a join sized b on a.conv is not distinct from b.conv
+"""
+
+
+@register("op7_chat_windows", CHAT_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], given.schema)
+    return chat.read_back(chat.windows(given.unionByName(probe)))
