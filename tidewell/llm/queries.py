@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files
+from . import chat, discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files, topk
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,26 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], given.schema)
     return chat.read_back(chat.windows(given.unionByName(probe)))
+
+
+TOPK_SQL = """
+with given as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from given q join given c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@register("op3_sorted_list_topk", TOPK_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 50 == 0)
