@@ -280,11 +280,12 @@ def encode_pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str
     return docs.select(col(key).alias("key"), col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def digests(coded: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """``key``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and ``decoded_sha256``."""
+def digests(coded: DataFrame, *more: str, key: str = "doc_id") -> DataFrame:
+    """``key``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas), ``decoded_sha256``, and ``more``."""
     return coded.select(
         col(key),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
