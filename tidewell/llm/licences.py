@@ -62,8 +62,8 @@ FUNCTION_WORDS = (
     "under", "use", "with", "without", "0", "1", "2", "3", "4", "v", "copy", "person", "source", "terms",
 )
 
-#: No mandatory phrase has a function word further than this from one that is looked up.
-REACH = 3
+#: No template has a function word further than this from one that is looked up.
+REACH = 4
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII characters that part words once A-Z are lower-cased.

@@ -248,7 +248,7 @@ class PieceCoder:
             text = shown.decode()
         except UnicodeDecodeError:
             return self.library.decode(ids.tolist())
-        if (ids < 3).any() or (len(ids) and self.shown[ids[0]][:1] != b" "):
+        if len(ids) and ((ids < 3).any() or not self.pieces[ids[0]].startswith(BLANK)):
             return self.library.decode(ids.tolist())
         return text[1:]
 
