@@ -234,6 +234,7 @@ def learn(
     slots = [F.struct(F.lit(i).alias("f"), slot(f[0]).alias("slot")) for i, f in enumerate(FEATURES)]
     rows = settle(rows.withColumn("slots", F.array(*slots)))
     left, rules = rows, []
+    barred: set[str] = set()  # statistics whose rule failed on the kept third; they open no other
     while len(rules) < max_rules:
         conditions: list[Condition] = []
         held: tuple[int, int] | None = None
@@ -245,7 +246,7 @@ def learn(
                 .agg(F.count(F.lit(1)).alias("n"))
                 .collect()  # at most 4 * (grid + 3) * 2 rows for each of FEATURES
             )
-            found = _best(slot_counts, cuts)
+            found = _best(slot_counts, cuts, set() if conditions else barred)
             if found is None:
                 break
             condition, held = found
@@ -262,21 +263,23 @@ def learn(
             ]
         ).first()
 
-        def worth(k: int) -> float:
-            p, n = tried[f"c{k}_1_0"], tried[f"c{k}_0_0"]
+        def worth(k: int, every: int) -> float:
+            p, n = tried[f"c{k}_1_{every}"], tried[f"c{k}_0_{every}"]
             return (p - n) / (p + n) if p + n else -1.0
 
-        best = max(range(len(parts)), key=lambda k: (worth(k), -k))
+        # the third kept for it decides; all labelled rows where it can't tell prefixes apart
+        best = max(range(len(parts)), key=lambda k: (worth(k, 0), worth(k, 1), -k))
         p, n = tried[f"c{best}_1_1"], tried[f"c{best}_0_1"]
         if p < min_covered or p < min_precision * (p + n):
-            break
+            barred.add(conditions[0].feature)
+            continue
         rule = conditions[: best + 1]
         rules.append(Rule(tuple(rule)))
         left = left.where(~covered(rule))
     return rules
 
 
-def _best(counts, cuts) -> tuple[Condition, tuple[int, int]] | None:
+def _best(counts, cuts, barred: set[str]) -> tuple[Condition, tuple[int, int]] | None:
     """The condition with the greatest gain; among equal ones the middle threshold."""
     by: dict[int, dict[int, list[int]]] = {}
     for row in counts:
@@ -289,6 +292,8 @@ def _best(counts, cuts) -> tuple[Condition, tuple[int, int]] | None:
     start = math.log2(whole[0] / sum(whole))
     tried: dict[tuple, list[int]] = {}
     for f in sorted(by):
+        if FEATURES[f][0] in barred:
+            continue
         below = [0, 0]
         for k in range(len(cuts[FEATURES[f][0]])):
             for i in (0, 1):

@@ -16,8 +16,8 @@ bytes (ceil(ids / 4) for each document), then all data bytes. ``start`` counts t
 block. A shard is a key range cut at quantiles of the keys; its documents are sorted and written
 by one task, a block at a time.
 
-Texts are tokenized twice: once to count ids and each shard's tokens, once to write. Keeping the
-ids of the first pass would cost more disk than the files themselves.
+Texts are tokenized once, into a table of plain ids beside the other two (``ids``: shard, key, n,
+ids), from which ids and each shard's tokens are counted and the files are written.
 
 Defined results: a null text counts as empty and holds the end id alone; an empty table gives
 empty files; null keys come first; rows of one key follow each other in the order of their code.
@@ -106,6 +106,7 @@ class WordCoder:
             and not any(b in s for s in self.special for b in " \t\n\r\x0b\x0c")
         )
         self.memory, self.parts = Memory(self._code), {}
+        self.id_kind = "<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         if self.by_word:
             text = cuts[0]["pattern"]["Regex"]
             self.cut = re.compile(text.replace(r"\p{L}", "a-zß-öø-ÿ").replace(r"\p{N}", "0-9"))
@@ -114,13 +115,16 @@ class WordCoder:
             rest = [b for b in range(256) if b not in plain]
             self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
+    def _merged(self, part: str) -> list[int]:
+        return [t.id for t in self.library.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))]
+
     def _part(self, part: str) -> list[int]:
+        """For parts of several in a word: marks, endings and the like, which recur."""
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) > 200_000:
+            if len(self.parts) > 50_000:
                 self.parts.clear()
-            shown = part.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.parts[part] = [t.id for t in self.library.model.tokenize(shown)]
+            ids = self.parts[part] = self._merged(part)
         return ids
 
     def _code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +133,7 @@ class WordCoder:
         for i, word in enumerate(words):
             if PROVEN.fullmatch(word) and not any(s in word for s in self.special):
                 parts = self.cut.findall(word.lower())
-                found[i] = self._part(parts[0]) if len(parts) == 1 else [x for p in parts for x in self._part(p)]
+                found[i] = self._merged(parts[0]) if len(parts) == 1 else [x for p in parts for x in self._part(p)]
             elif word:
                 others.append(i)
             else:
@@ -156,14 +160,6 @@ def _coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
-def _coded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Each chunk with its ids, the end id after each text, and the number of ids of each text."""
-    coder = _coder(path)
-    for batch in chunks(batches, "text"):
-        ids, sizes = coder.encode(strings(batch.column(1)))
-        yield batch, np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
-
-
 # ---------------------------------------------------------------------------------------------
 # files
 
@@ -202,19 +198,41 @@ def write_token_files(
     rows = docs.select(col(key).cast("long").alias("key"), col(text).alias("text"))
     bounds = spark.sparkContext.broadcast(_bounds(rows.select("key"), shard_docs))
 
+    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path)
+        for batch in chunks(batches, "text"):
+            ids, sizes = coder.encode(strings(batch.column(1)))
+            ids, sizes = np.insert(ids, np.cumsum(sizes), end_id).astype(coder.id_kind), sizes + 1
+            ends = np.concatenate([[0], np.cumsum(sizes * ids.itemsize)])
+            packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_shard(batch.column(0), bounds.value)), batch.column(0), pa.array(sizes, pa.int32()), packed],
+                ["shard", "key", "n", "ids"],
+            )
+
+    rows.mapInArrow(tokenize, "shard int, key long, n int, ids binary").write.option("compression", "zstd").parquet(f"{folder}/ids")
+    plain = spark.read.parquet(f"{folder}/ids")
+
+    def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows end to end, and how many each row has."""
+        sizes = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        packed = b"".join(batch.column(3).to_pylist())
+        return np.frombuffer(packed, "<u2" if len(packed) == 2 * sizes.sum() else "<u4"), sizes
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, tokens = np.zeros(0, np.int64), np.zeros(len(bounds.value) + 1, np.int64)
-        for batch, ids, sizes in _coded(batches, path, end_id):
+        for batch in batches:
+            ids, sizes = unpacked(batch)
             found = np.bincount(ids, minlength=len(n))
             found[: len(n)] += n
             n = found
-            np.add.at(tokens, _shard(batch.column(0), bounds.value), sizes)
+            np.add.at(tokens, batch.column(0).to_numpy(zero_copy_only=False), sizes)
         for is_id, counts in ((True, n), (False, tokens)):
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([is_id] * len(at), pa.bool_()), pa.array(at), pa.array(counts[at])], ["is_id", "at", "n"])
 
     # as many rows as ids are in use and shards are there
-    tallied = rows.mapInArrow(tally, "is_id boolean, at long, n long").groupBy("is_id", "at").agg(F.sum("n").alias("n")).collect()
+    tallied = plain.mapInArrow(tally, "is_id boolean, at long, n long").groupBy("is_id", "at").agg(F.sum("n").alias("n")).collect()
     used = sorted((-r["n"], r["at"]) for r in tallied if r["is_id"])
     spark.createDataFrame([(i, at, -n) for i, (n, at) in enumerate(used)], "rank long, id long, n long").coalesce(1).write.parquet(f"{folder}/vocabulary")
     rank_of = np.zeros(max((at for _, at in used), default=0) + 1, np.uint32)
@@ -227,14 +245,14 @@ def write_token_files(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, _ = shared.value
-        for batch, ids, sizes in _coded(batches, path, end_id):
+        for batch in batches:
+            ids, sizes = unpacked(batch)
             ends = np.cumsum(sizes)
-            coded = [encode_ranks(ranks[ids[e - n : e]]) for e, n in zip(ends, sizes, strict=True)]
+            coded = [encode_ranks(ranks[ids[e - n : e]]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_shard(batch.column(0), bounds.value)), batch.column(0), pa.array(sizes, pa.int32()),
-                 pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
+                [*batch.columns[:3], pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
                 ["shard", "key", "n", "control", "data"],
-            )
+            )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, first = shared.value
@@ -261,7 +279,7 @@ def write_token_files(
         if held:
             yield out()
 
-    coded = rows.mapInArrow(code, "shard int, key long, n int, control binary, data binary")
+    coded = plain.mapInArrow(code, "shard int, key long, n int, control binary, data binary")
     in_order = coded.repartition(len(bounds.value) + 1, "shard").sortWithinPartitions(
         "shard", F.asc_nulls_first("key"), "data", "control"
     )

@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on together, and units that a worker remembers.
-CHUNK_BYTES = 4 << 20
-REMEMBERED = 500_000
+CHUNK_BYTES = 8 << 20
+REMEMBERED = 1_000_000
 
 
 def strings(column) -> pa.Array:
@@ -60,26 +60,37 @@ class Memory:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.flat, self.kept_flat = np.zeros(1 << 16, np.int32), 0
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def places(self, units: list[str]) -> np.ndarray:
-        """Where ``starts`` and ``sizes`` have each unit; valid until the next call."""
-        if len(self.starts) + len(units) > self.bound or self.used > 16 * self.bound:
-            self.forget()
+        """Where ``starts`` and ``sizes`` have each unit; valid until the next call.
+
+        A full memory stays as it is, since frequent units are met early; what it lacks is coded
+        for this call alone. It is given up once it lacks most of what is asked.
+        """
+        n = len(self.known)
+        self.starts, self.sizes = self.starts[:n], self.sizes[:n]
         at = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(at < 0)
-        if len(missing):
-            new = [units[i] for i in missing]
-            flat, sizes = self.encode_many(new)
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(flat)] = flat
-            at[missing] = np.arange(len(self.starts), len(self.starts) + len(new))
-            self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.used += len(flat)
+        if not len(missing):
+            return at
+        full = n + len(missing) > self.bound or self.kept_flat > 16 * self.bound
+        if full and n and 2 * len(missing) > len(units):
+            self.forget()
+            return self.places(units)
+        new = [units[i] for i in missing]
+        flat, sizes = self.encode_many(new)
+        used = self.kept_flat + len(flat)
+        if used > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.kept_flat], np.zeros(2 * used - self.kept_flat, np.int32)])
+        self.flat[self.kept_flat : used] = flat
+        at[missing] = np.arange(n, n + len(new))
+        self.starts = np.concatenate([self.starts, self.kept_flat + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        if not full:
             self.known.update(zip(new, at[missing].tolist(), strict=True))
+            self.kept_flat = used
         return at
 
     def spread(self, units: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
