@@ -34,8 +34,8 @@ HEADLINE = (
     "d32_customer_holdings",
     "d35_company_kpis",
     "d40_agent_kpis",
-    "d44_persistency",
-    "d50_agent_dashboard",
+    "d44_retention",
+    "d50_agent_overview",
     "d53_coverage_fact",
     "j12_month_range_join",
     "j13_interval_join",

@@ -1,13 +1,16 @@
 """Operators on edge rows and against brute force."""
 
 import random
+import statistics
 from collections import Counter, defaultdict
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewell import operators as op
+from tidewell.session import shared_dir
 
 
 def rows_of(df):
@@ -101,19 +104,19 @@ def test_group_extremes_with_null_group(spark):
     assert got == sorted([("a", 1, 1, 5), ("a", 5, 1, 5), (None, 2, 2, 7), (None, 7, 2, 7), ("b", None, None, None)], key=str)
 
 
-@pytest.mark.parametrize("slots", [2, 64])
-def test_ranks_against_brute_force(spark, slots):
+@pytest.mark.parametrize("distinct", [3, 60, 100_000])
+def test_ranks_against_brute_force(spark, distinct):
     rng = random.Random(5)
-    data = [(i, 0 if i % 3 == 0 else rng.randrange(1, 60)) for i in range(500)] + [(999, None)]
+    data = [(i, 0 if i % 3 == 0 else rng.randrange(1, distinct)) for i in range(500)] + [(999, None)]
     df = spark.createDataFrame(data, "id int, v int")
     counts = Counter(v for _, v in data if v is not None)
 
     def above(v):
         return sum(n for x, n in counts.items() if x > v)
 
-    got = {r["id"]: r["rank"] for r in op.with_rank(df, "v", slots=slots).collect()}
+    got = {r["id"]: r["rank"] for r in op.with_rank(df, "v").collect()}
     assert got == {i: None if v is None else above(v) + 1 for i, v in data}
-    got = {r["id"]: r["rank"] for r in op.with_mean_rank(df, "v", slots=slots).collect()}
+    got = {r["id"]: r["rank"] for r in op.with_mean_rank(df, "v").collect()}
     assert got == {i: None if v is None else int(above(v) + 1 + (counts[v] - 1) / 2) for i, v in data}
 
 
@@ -177,3 +180,25 @@ def test_kpi_block_ratio_and_zero(spark):
     kpis = [op.Kpi("n", F.lit(1)), op.Kpi("r", F.col("a"), None, F.col("b")), op.Kpi("big", F.when(F.col("a") > 3, 1).otherwise(0))]
     got = {(r["kpi"], r["ch"]): r["kpi_val"] for r in op.kpi_block(df, kpis, ["ch"]).collect()}
     assert got == {("n", "x"): 2, ("n", "y"): 1, ("r", "x"): None, ("r", "y"): 2, ("big", "x"): 0, ("big", "y"): 1}
+
+
+@pytest.mark.parametrize("values", [[], [None], [4], [1, 2], [5, 1, 3], [7] * 90 + [1, 2, 9], [*range(200), 3, 3, None]])
+def test_median_against_brute_force(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    known = [v for v in values if v is not None]
+    got = spark.range(1).select(op.median_of(df, "v").alias("m")).first()["m"]
+    assert got == (statistics.median(known) if known else None)
+
+
+def test_densify_refuses_a_long_list(spark):
+    df = spark.createDataFrame([(1, f"d{i}", 1) for i in range(6)], "e int, d string, v int")
+    assert op.densify(df, "e", "d", "v", most=6).count() == 6
+    with pytest.raises(Exception, match="more than 5 values of d"):
+        op.densify(df, "e", "d", "v", most=5).collect()
+
+
+def test_settling_needs_a_shared_folder():
+    conf = SimpleNamespace(get=lambda key, default: default)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=context))

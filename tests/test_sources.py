@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell import sources
 from tidewell.checks import require
+from tidewell.sources import sinks
 
 
 def table(spark, *rows):
@@ -103,3 +104,33 @@ def test_calendar():
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="'nope'"):
         require(table(spark, (1, "a")), "t", "id", "nope")
+
+
+@pytest.mark.parametrize(
+    "a, b, meet",
+    [
+        ("hdfs://nn:8020/data/x", "/data/x", True),
+        ("hdfs:///data/x", "hdfs://nn:8020/data/x/y", True),
+        ("hdfs://nn:8020/data/x", "/data/xy", False),
+        ("hdfs://other:8020/data/x", "/data/x", False),
+        ("file:/data/x", "/data/x", False),
+        ("s3a://bucket/a", "s3a://bucket/a/b", True),
+        ("s3a://bucket/a", "s3a://bucket2/a", False),
+        ("data/x", "hdfs://nn:8020/user/me/data/x", True),
+        ("/data/../data//x/", "/data/x", True),
+    ],
+)
+def test_locations_are_compared_whole(a, b, meet):
+    def located(path):
+        return sinks.absolute(path, "hdfs://nn:8020", "/user/me")
+
+    assert sinks.overlap(located(a), located(b)) is meet
+
+
+def test_overwrite_is_refused_under_another_spelling(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sources.write_table(table(spark, (1, "a")), path)
+    for read, write in ((f"file:{path}", path), (path, f"file://{path}"), (path, f"{path}/../t/")):
+        with pytest.raises(ValueError, match="is read by this result"):
+            sources.write_table(spark.read.parquet(read), write)
+    assert spark.read.parquet(path).count() == 1

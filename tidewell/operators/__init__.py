@@ -30,7 +30,7 @@ from .joins import (  # noqa: F401
     with_top_row,
 )
 from .lineage import settle  # noqa: F401
-from .ranks import value_ranks, with_mean_rank, with_rank, with_rank_share, with_standing  # noqa: F401
+from .ranks import median_of, value_ranks, with_mean_rank, with_rank, with_rank_share, with_standing  # noqa: F401
 from .sets import net_of, stack, stack_distinct, stack_tagged, unfold_distinct  # noqa: F401
 from .windows import (  # noqa: F401
     first_by,

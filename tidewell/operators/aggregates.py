@@ -56,12 +56,15 @@ def weighted_sum(amount: ColumnLike, kind: ColumnLike, weights: Mapping[str, str
 
 
 def text_list(c: ColumnLike, separator: str = ",") -> Column:
-    """The group's distinct values in order, joined to one text; empty when there are none."""
+    """The group's distinct values in order, joined to one text; empty when there are none.
+
+    A group's distinct values stand in one row: for codes and kinds, not for ids.
+    """
     return F.concat_ws(separator, F.array_sort(F.collect_set(col(c))))
 
 
 def value_set(c: ColumnLike) -> Column:
-    """The group's distinct values as an ordered array."""
+    """The group's distinct values as an ordered array, in one row; see :func:`text_list`."""
     return F.array_sort(F.collect_set(col(c)))
 
 
@@ -84,16 +87,19 @@ def top_list_by(
     )
 
 
-def densify(df: DataFrame, entity: str, dim: str, value: str, fill=0) -> DataFrame:
+def densify(df: DataFrame, entity: str, dim: str, value: str, fill=0, *, most: int = 1000) -> DataFrame:
     """One row for every entity and every value of ``dim`` that occurs; gaps get ``fill``.
 
     ``dim`` is a short list by nature (months of a year, product types). It is attached to
-    each entity as one array and unfolded, without a cross join.
+    each entity as one array and unfolded, without a cross join. More than ``most`` values
+    are an error, raised when the result is computed, not a longer array.
     """
     totals = df.where(F.col(entity).isNotNull() & F.col(dim).isNotNull()).groupBy(entity, dim).agg(
         F.sum(value).alias(value)
     )
-    all_dims = totals.agg(F.array_sort(F.collect_set(dim))).scalar()
+    listed = totals.select(dim).distinct().limit(most + 1).agg(F.array_sort(F.collect_set(dim)).alias("__dims"))
+    too_many = F.raise_error(F.lit(f"densify: more than {most} values of {dim}"))
+    all_dims = listed.select(F.when(F.size("__dims") > most, too_many).otherwise(F.col("__dims"))).scalar()
     own = totals.groupBy(entity).agg(F.map_from_entries(F.collect_list(F.struct(dim, value))).alias("__own"))
     return (
         own.withColumn("__dims", all_dims)

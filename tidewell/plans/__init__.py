@@ -3,18 +3,18 @@
 from .agent_fact import agency_agents, agent_list, coverage_fact, plan_margins  # noqa: F401
 from .agent_pack import (  # noqa: F401
     advice,
-    agent_dashboard,
     agent_kpis,
+    agent_overview,
     agent_page1,
     agent_page2,
     agent_ratios,
     claim_kpis,
     lapse_risks,
     next_leads,
-    persistency,
     policy_facts,
     premium_rank,
     qualification,
+    retention,
     sales_mix,
     title_dates,
     top_policies,

@@ -1,4 +1,4 @@
-"""The agent pack: KPI matrix, ratios, mixes, claims, persistency, risks, leads, pages, advice.
+"""The agent pack: KPI matrix, ratios, mixes, claims, retention, risks, leads, pages, advice.
 
 ``fact`` is the result of ``coverage_fact``; ``agents`` that of ``agent_list`` (agt_cd, tier, ..).
 All results have one row per agent in ``agt_cd`` unless stated.
@@ -26,7 +26,7 @@ from ..functions.dates import (
 from ..functions.text import cut_percent
 from ..operators.aggregates import Metric, count_if, densify, rolling_kpis, top_list_by
 from ..operators.lineage import settle
-from ..operators.ranks import with_mean_rank, with_rank, with_standing
+from ..operators.ranks import median_of, with_mean_rank, with_rank, with_standing
 from ..operators.windows import latest_by, top_n_by
 from . import values as v
 
@@ -171,7 +171,7 @@ def claim_kpis(claims: DataFrame, fact: DataFrame, as_of: DateLike) -> DataFrame
     )
 
 
-def persistency(
+def retention(
     fact: DataFrame,
     agents: DataFrame,
     external: DataFrame | None = None,
@@ -492,9 +492,9 @@ def advice(
 ) -> DataFrame:
     """Exactly four messages for every agent: praise, up to three hints, or a call to return.
 
-    ``kpis`` with ratios, ``kept`` from :func:`persistency`, ``agents`` (agt_cd, agt_nm, tier,
+    ``kpis`` with ratios, ``kept`` from :func:`retention`, ``agents`` (agt_cd, agt_nm, tier,
     next_qualify_check). Figures of the group are shares of summed premium, the mean 3-month
-    case, and medians of relation kinds and of 14-month persistency. A missing figure never
+    case, and medians of relation kinds and of 14-month retention. A missing figure never
     triggers its hint. ``text`` replaces the texts of the language.
     """
     words = text or ADVICE_TEXT[lang]
@@ -504,12 +504,12 @@ def advice(
             ratio(F.sum("last_3m_rid"), F.sum("last_3m_ape")).alias("riders"),
             ratio(F.sum("last_3m_rep"), F.sum("last_3m_ape")).alias("repeat"),
             F.expr("avg(last_3m_pol_size)").alias("size"),
-            F.expr("median(last_3m_fam)").alias("family"),
         )
+        .withColumn("family", median_of(kpis, "last_3m_fam"))
         .select(F.struct("*").alias("s"))
         .scalar()
     )
-    kept_median = kept.agg(F.expr("median(per_14m)")).scalar()
+    kept_median = median_of(kept, "per_14m")
     rows = (
         agents.select("agt_cd", "agt_nm", "tier", "next_qualify_check")
         .join(kpis, "agt_cd", "left")
@@ -566,10 +566,10 @@ def advice(
     )
 
 
-def agent_dashboard(
+def agent_overview(
     fact: DataFrame, qualified: DataFrame, as_of: DateLike, *, link: str | None = None
 ) -> DataFrame:
-    """Dashboard: totals since qualification, lifetime totals, best month and case, gap to the next tier.
+    """Overview: totals since qualification, lifetime totals, best month and case, gap to the next tier.
 
     ``qualified`` from :func:`qualification`. All listed agents appear; the counts since
     qualification are 0 where there is nothing, other figures null.

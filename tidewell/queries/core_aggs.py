@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mean_of, ratio
 from ..operators import (
+    median_of,
     Metric,
     any_value_of,
     best_by_distinct_count,
@@ -203,7 +204,7 @@ select a.*, b.*, case when n > median_n then 'Y' else 'N' end as above from a cr
 def a24(t: Tables):
     """The one-row benchmark is a scalar of the settled per-agent table."""
     own = settle(t.e_policy.groupBy("agt_code").agg(F.sum("mode_prem").alias("premium"), F.count(F.lit(1)).alias("n")))
-    bench = own.agg(F.median("n").alias("median_n"), ratio(F.sum("premium"), F.sum("n")).alias("share"))
+    bench = own.agg(ratio(F.sum("premium"), F.sum("n")).alias("share")).withColumn("median_n", median_of(own, "n"))
     wide = own.withColumn("b", bench.select(F.struct("*")).scalar())
     return wide.select(
         "agt_code", "premium", "n", "b.median_n", "b.share",

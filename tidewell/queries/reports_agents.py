@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from .. import plans
+from .. import plans, sources
 from ..functions import adjusted_premium, ape, owner_relation
 from ..operators import settle
 from ..plans.agent_pack import ADVICE_TEXT
+from ..session import shared_dir
 from .entities import REPORT_DATE
 from .registry import Tables, query
 
@@ -94,8 +97,10 @@ query(
 
 
 def stored_fact(t: Tables):
-    """The fact as the reports find it in production: computed once, read back."""
-    return settle(fact(t))
+    """The fact as the reports find it in production: written once, read back by columns."""
+    path = f"{shared_dir(t.spark)}/tidewell-fact-{uuid.uuid4().hex}"
+    sources.write_table(fact(t), path)
+    return sources.read_table(t.spark, path)
 
 
 def agents(t: Tables):
@@ -226,11 +231,11 @@ from (select agt_cd, count(distinct case when {TAKEN} then pol_num end) as all_p
 
 
 def kept(t: Tables, rows=None):
-    return plans.persistency(fact(t) if rows is None else rows, agents(t), t.e_programme)
+    return plans.retention(fact(t) if rows is None else rows, agents(t), t.e_programme)
 
 
 query(
-    "d44_persistency",
+    "d44_retention",
     "agt_cd:l all_pol_cnt:l lap_14m_pol:l lap_20m_pol:l lap_26m_pol:l per_14m:d per_20m:d per_26m:d nt_rate_12m:d "
     "per_19m_external:d chart:s chart_kpi:s",
     f"""with {PER_CTE} select per.*, cast(p.m19_per as double) / 100 as per_19m_external, 'lapse_kpi' as chart, 'pol_cnt' as chart_kpi
@@ -390,7 +395,7 @@ for _lang in ("en", "vi"):
     )(lambda t, lang=_lang: advised(t, lang))
 
 query(
-    "d50_agent_dashboard",
+    "d50_agent_overview",
     "agt_cd:l agt_nm:s tier:s ape_since_qualify:l pol_since_qualify:l active_month:l total_custm:l best_month:l best_case:l "
     "active_custm:l total_ape:l which_month_max:s max_mth_ape:l ape_this_year:l next_tier:s next_tier_benchmark:l gap_to_next_tier:l "
     "qualify_ape_target:l qualify_pol_target:l qualify_act_target:l",
@@ -410,7 +415,7 @@ select qa.agt_cd, qa.agt_nm, qa.tier, coalesce(ape_since_qualify, 0) as ape_sinc
   600000000 as qualify_ape_target, 30 as qualify_pol_target, 6 as qualify_act_target
 from qa left join a on qa.agt_cd = a.agt_cd left join bm on qa.agt_cd = bm.agt_cd and bm.rn = 1 left join cs on qa.agt_cd = cs.agt_cd
 left join ac on qa.agt_cd = ac.agt_cd""",
-)(lambda t: plans.agent_dashboard(stored_fact(t), qualified(t), REPORT_DATE))
+)(lambda t: plans.agent_overview(stored_fact(t), qualified(t), REPORT_DATE))
 
 query(
     "d51_premium_rank",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Mapping, Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,30 +12,58 @@ from pyspark.sql import functions as F
 from ..checks import require
 
 
-def _bare(path: str) -> str:
-    """The path without its scheme and with one trailing slash."""
-    tail = path.split("://", 1)[-1] if "://" in path else path.split(":", 1)[-1]
-    return "/" + tail.strip("/") + "/"
+def absolute(path: str, default: str = "file:///", home: str = "/") -> tuple[str, str, str]:
+    """Scheme, authority and path (with one trailing slash) of a location.
 
-
-def _reads_from(df: DataFrame, path: str) -> bool:
-    """True when a file scan of the plan is rooted at, above or below ``path``.
-
-    Only the roots of the scans are looked at; files are not listed.
+    ``default`` is the file system that paths without a scheme, or without an authority in its
+    scheme, belong to; relative paths start at ``home``.
     """
-    target = _bare(path)
+    base = urlsplit(default)
+    head, colon, rest = path.partition(":")
+    if colon and "/" not in head:
+        scheme, tail = head.lower(), rest
+    else:
+        scheme, tail = base.scheme, path
+    authority = ""
+    if tail.startswith("//"):
+        authority, _, tail = tail[2:].partition("/")
+        tail = "/" + tail
+    if not authority and scheme == base.scheme:
+        authority = base.netloc
+    if not tail.startswith("/"):
+        tail = home.rstrip("/") + "/" + tail
+    return scheme, authority, posixpath.normpath("/" + tail.strip("/")).rstrip("/") + "/"
+
+
+def overlap(a: tuple[str, str, str], b: tuple[str, str, str]) -> bool:
+    """Whether one location lies in the other; both as :func:`absolute` gives them."""
+    return a[:2] == b[:2] and (a[2].startswith(b[2]) or b[2].startswith(a[2]))
+
+
+def _roots(df: DataFrame) -> list[str]:
+    """Roots of the plan's file scans, of either kind of file source; files are not listed."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots: list[str] = []
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
-        if leaf.getClass().getSimpleName() != "LogicalRelation":
-            continue
-        relation = leaf.relation()
-        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            found = leaf.relation().location().rootPaths()
+        elif kind == "DataSourceV2Relation" and leaf.table().getClass().getSuperclass().getSimpleName() == "FileTable":
+            found = leaf.table().fileIndex().rootPaths()
+        else:
             continue
-        for root in relation.location().rootPaths().mkString("\n").splitlines():
-            if _bare(root).startswith(target) or target.startswith(_bare(root)):
-                return True
-    return False
+        roots += found.mkString("\n").splitlines()
+    return roots
+
+
+def _reads_from(df: DataFrame, path: str) -> bool:
+    """True when a file scan of the plan is rooted at, above or below ``path``."""
+    spark = df.sparkSession
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    default, home = files.getUri().toString(), files.getWorkingDirectory().toUri().getPath()
+    target = absolute(path, default, home)
+    return any(overlap(absolute(root, default, home), target) for root in _roots(df))
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
