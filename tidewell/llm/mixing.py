@@ -110,18 +110,22 @@ def slots(each: DataFrame, *, block: int = BLOCK, shard_blocks: int = SHARD_BLOC
 
 
 def _streams(sized: DataFrame, each: DataFrame) -> DataFrame:
-    """``sized`` with its source's columns and ``start``, the words of the source before the row."""
+    """``sized`` with its source's columns and ``start``, the words of the source before the row.
+
+    ``number``, ``bucket`` and ``place`` name a row, also among rows alike.
+    """
     rows = sized.join(each.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     buckets = F.greatest(F.ceil(sized.agg(F.count(F.lit(1))).scalar() / BUCKET_ROWS), F.lit(1))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "size"), buckets))
-    running = Window.partitionBy("number", "bucket").orderBy(F.col("key").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("number", "bucket").orderBy(F.col("key").asc_nulls_first(), "size")
+    running = ordered.rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         rows.groupBy("number", "bucket").agg(F.sum("size").alias("n"))
         .select("number", "bucket", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("offset"))
     )
-    local = rows.withColumn("start", F.coalesce(F.sum("size").over(running), F.lit(0)))
-    return local.join(totals, ["number", "bucket"]).withColumn("start", F.col("start") + F.col("offset")).drop("offset", "bucket")
+    local = rows.withColumn("place", F.row_number().over(ordered)).withColumn("start", F.coalesce(F.sum("size").over(running), F.lit(0)))
+    return local.join(totals, ["number", "bucket"]).withColumn("start", F.col("start") + F.col("offset")).drop("offset")
 
 
 def _taken(sized: DataFrame, *, block: int, shard_blocks: int, seed: int, **shares) -> DataFrame:
@@ -139,8 +143,9 @@ def _taken(sized: DataFrame, *, block: int, shard_blocks: int, seed: int, **shar
     parts = parts.withColumn("from", at - F.col("block") * block).withColumn(
         "length", F.least(end, (F.col("block") + 1) * block) - at
     ).withColumn("in_document", at - F.col("start"))
-    made = slots(each, block=block, shard_blocks=shard_blocks, seed=seed)
-    met = parts.join(made, ["number", "block"], "left")
+    made = slots(each, block=block, shard_blocks=shard_blocks, seed=seed).select("number", "pass", "block", "n")
+    # The slots grow with the corpus, but are estimated by the table of sources they come from.
+    met = parts.join(made.hint("merge"), ["number", "block"], "left")
     return met.withColumn("got", F.greatest(F.least(F.coalesce("n", F.lit(0)) - F.col("from"), F.col("length")), F.lit(0)))
 
 
@@ -167,11 +172,10 @@ def mix(
     """``key``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``."""
     sized = sizes(docs, key=key, source=source, text=text)
     parts = _taken(sized, block=block, shard_blocks=shard_blocks, seed=seed, **shares)
-    some = parts.where("size > 0").groupBy("number", "start", "key", "size", "source_size", "target").agg(
+    each = parts.groupBy("number", "bucket", "place", "key", "size", "source_size", "target").agg(
         F.coalesce(F.sum("got"), F.lit(0)).alias("taken")
     )
-    none = parts.where("size = 0").select("number", "start", "key", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken"))
-    return some.unionByName(none).select(F.col("key").alias(key), "size", "source_size", "target", "taken")
+    return each.select(F.col("key").alias(key), "size", "source_size", "target", "taken")
 
 
 def mixed_documents(
