@@ -17,7 +17,7 @@ over the chunks' totals, windows meet their turns by (conversation, step), and a
 window at a time; no step of the formatting gathers a conversation.
 
 Defined results: null texts and roles count as empty; a null turn comes first; rows alike in turn
-are ordered by role and text, and repeated rows are turns of their own; null is a conversation of
+are ordered by role and the text's MD5 digest, and repeated rows are turns of their own; null is a conversation of
 its own; an empty table gives no rows; a window whose parts alone are longer than the budget is
 kept whole and marked.
 """
@@ -33,6 +33,8 @@ from .base import col, total, words
 BUDGET, HISTORY, MARKS, LEAST_STEP = 1024, 256, 4, 64
 #: Turn numbers whose turns are put in order together.
 CHUNK = 256
+#: The chunk of turns without a number.
+BEFORE_ALL = -(1 << 60)
 
 # The template's control strings as a pattern.
 CONTROL = r"(/?(?:s>|INST\]))"
@@ -48,24 +50,31 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[])\\(\\*)" + CONTROL, "$1$2$3")
 
 
-def _placed(turns: DataFrame, tokens: Column) -> DataFrame:
-    """Each turn with ``ord`` (from 1 in its conversation) and the tokens before and with it."""
-    rows = turns.withColumn("tokens", tokens + MARKS).withColumn("chunk", F.floor(F.col("turn") / CHUNK))
-    in_chunk = Window.partitionBy("ck", "chunk").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    placed = rows.withColumn("place", F.row_number().over(in_chunk)).withColumn(
-        "run", F.sum("tokens").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    before = Window.partitionBy("ck").orderBy(F.col("chunk").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+#: Rows of one turn are ordered by role and by a digest of the text, so that texts need not move.
+ORDER = ("turn", "role", "tie")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Each row with its ``place`` in its chunk of turn numbers, from 1."""
+    in_chunk = Window.partitionBy("ck", "chunk").orderBy(*[F.col(c).asc_nulls_first() for c in ORDER])
+    return rows.withColumn("place", F.row_number().over(in_chunk))
+
+
+def _on_line(rows: DataFrame) -> DataFrame:
+    """Placed rows with ``ord`` (from 1 in the conversation) and the tokens before and with each."""
+    in_chunk = Window.partitionBy("ck", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("ck").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = (
         rows.groupBy("ck", "chunk").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"))
-        .select(F.col("ck").alias("ck2"), F.col("chunk").alias("chunk2"),
-                F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"))
+        .select("ck", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"))
     )
-    met = placed.join(chunks, (F.col("ck") == F.col("ck2")) & F.col("chunk").eqNullSafe(F.col("chunk2")))
     end = F.col("t0") + F.col("run")
-    return met.select(
-        "ck", "conv", "role", "text", "tokens", (F.col("n0") + F.col("place")).alias("ord"), (end - F.col("tokens")).alias("start"), end.alias("end")
-    )
+    return (
+        _placed(rows).withColumn("run", F.sum("tokens").over(in_chunk))
+        .join(chunks, ["ck", "chunk"])
+        .select("ck", "conv", "chunk", "place", "role", "tokens", (F.col("n0") + F.col("place")).alias("ord"),
+                (end - F.col("tokens")).alias("start"), end.alias("end"))
+    )
 
 
 def windows(
@@ -94,11 +103,20 @@ def windows(
         F.coalesce(col(role), F.lit("")).alias("role"),
         F.coalesce(col(text), F.lit("")).alias("text"),
     )
-    placed = _placed(turns, F.size(words(F.col("text"))) if tokens is None else tokens)
+    turns = turns.withColumns(
+        {
+            "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(BEFORE_ALL)),
+            "tie": F.md5("text"),
+            "tokens": (F.size(words(F.col("text"))) if tokens is None else tokens) + MARKS,
+        }
+    )
+    # Windows are made of rows without texts; texts move only to meet the rows that show them.
+    placed = _on_line(turns.select("ck", "conv", "chunk", *ORDER, "tokens"))
+    texts = _placed(turns.select("ck", "chunk", *ORDER, "text")).select("ck", "chunk", "place", "role", "text")
     first = (
-        placed.where("role = 'system'").groupBy("ck")
-        .agg(F.min(F.struct("ord", "tokens", "text")).alias("s"))
-        .select(F.col("ck").alias("sk"), F.col("s.ord").alias("s_ord"), F.col("s.tokens").alias("s_tokens"), F.col("s.text").alias("s_text"))
+        placed.where("role = 'system'").groupBy("ck").agg(F.min(F.struct("ord", "tokens", "chunk", "place")).alias("s"))
+        .select(F.col("ck").alias("sk"), F.col("s.ord").alias("s_ord"), F.col("s.tokens").alias("s_tokens"),
+                F.col("s.chunk").alias("s_chunk"), F.col("s.place").alias("s_place"))
     )
     step = F.greatest(F.floor((budget - history - F.coalesce("s_tokens", F.lit(0))) / 2), F.lit(least_step))
     line = (
@@ -108,7 +126,7 @@ def windows(
         .withColumn("window", F.col("bin") * 2 + (F.col("tokens") > F.col("step")).cast("int"))
         .withColumn("is_system", F.coalesce(F.col("ord") == F.col("s_ord"), F.lit(False)))
     )
-    parts = ["ck", "conv", "window", "kind", "ord", "role", "text", "tokens"]
+    parts = ["ck", "conv", "window", "kind", "ord", "chunk", "place", "tokens"]
     own = line.withColumn("kind", F.lit(2)).select(parts)
     opened = line.groupBy("ck", "conv", "window", "step", "s_ord").agg(
         F.min("ord").alias("first_ord"), F.min("start").alias("from")
@@ -120,19 +138,19 @@ def windows(
     asked = opened.where("from > 0").select(
         "ck", "conv", F.col("window").alias("w"), "from", F.explode(reach).alias("bin")
     )
-    told = line.where("not is_system").select("ck", "bin", "ord", "role", "text", "tokens", "start", "end")
+    told = line.where("not is_system").select("ck", "bin", "ord", "chunk", "place", "tokens", "start", "end")
     repeated = (
         asked.join(told, ["ck", "bin"])
         .where((F.col("start") >= F.col("from") - history) & (F.col("end") <= F.col("from")))
-        .select("ck", "conv", F.col("w").alias("window"), F.lit(1).alias("kind"), "ord", "role", "text", "tokens")
+        .select("ck", "conv", F.col("w").alias("window"), F.lit(1).alias("kind"), "ord", "chunk", "place", "tokens")
     )
     led = (
         opened.where(F.col("s_ord") < F.col("first_ord"))
         .join(first.drop("s_ord"), F.col("ck") == F.col("sk"))
-        .select("ck", "conv", "window", F.lit(0).alias("kind"), F.col("s_ord").alias("ord"), F.lit("system").alias("role"),
-                F.col("s_text").alias("text"), F.col("s_tokens").alias("tokens"))
+        .select("ck", "conv", "window", F.lit(0).alias("kind"), F.col("s_ord").alias("ord"), F.col("s_chunk").alias("chunk"),
+                F.col("s_place").alias("place"), F.col("s_tokens").alias("tokens"))
     )
-    members = own.unionByName(repeated).unionByName(led)
+    members = own.unionByName(repeated).unionByName(led).join(texts, ["ck", "chunk", "place"])
     piece = F.struct(
         "kind", "ord",
         F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(MIDDLE)).alias("head"),

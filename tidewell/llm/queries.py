@@ -100,7 +100,7 @@ with given as (
 ),
 counted as (
   select *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {chat.MARKS} as tokens,
-    row_number() over (partition by conv order by turn nulls first, role, text) as ord
+    row_number() over (partition by conv order by turn nulls first, role, md5(text)) as ord
   from given
 ),
 summed as (
