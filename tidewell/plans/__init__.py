@@ -43,7 +43,7 @@ from .customers import (  # noqa: F401
     top_campaign_agents,
 )
 from .kpis import bank_kpis, company_kpis, product_group, product_groups  # noqa: F401
-from .leads import attribute_leads, clean_leads, lead_history, sale_contacts  # noqa: F401
+from .leads import attribute_leads, clean_leads, contact_entries, lead_history  # noqa: F401
 from .ledger import (  # noqa: F401
     account_balance,
     collections,

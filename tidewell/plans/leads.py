@@ -82,31 +82,19 @@ def clean_leads(leads: DataFrame, users: DataFrame, excluded_patterns: Sequence[
 PHONES = ("mobl_phon_num", "prim_phon_num", "othr_phon_num")
 
 
-def sale_contacts(sales: DataFrame, clients: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Sales once per contact key of their owner: each distinct phone, and the e-mail address.
+def contact_entries(clients: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Each client's contact keys: ``po_num``, ``route`` ('phone' or 'email') and ``key``.
 
-    Adds route ('phone' or 'email') and key to the sale's columns. A phone entry shows that
-    phone, the e-mail entry the mobile one.
+    Distinct phones, and the e-mail address folded.
     """
     phones = F.array_distinct(F.array_compact(F.array(*[normalize_phone(p) for p in PHONES])))
-    people = clients.select(
-        "cli_num", "cli_nm", phones.alias("phones"), normalize_phone("mobl_phon_num").alias("mobile")
-    )
-
-    def entry(route: str, key, phone):
-        return F.struct(F.lit(route).alias("route"), key.alias("key"), phone.alias("phone"))
-
-    by_phone = F.transform("phones", lambda p: entry("phone", p, p))
-    by_email = F.when(
-        F.col("email_addr").isNotNull(), entry("email", fold("email_addr"), F.col("mobile"))
-    )
-    return (
-        sales.join(people, F.col("po_num") == F.col("cli_num"))
-        .join(contacts.select("cli_num", "email_addr"), "cli_num", "left")
-        .withColumn("entry", F.explode(F.array_compact(F.concat(by_phone, F.array(by_email)))))
-        .withColumn("mobl_phon_num", F.col("entry.phone"))
-        .select(*SALE_TEXT, *SALE_AMOUNTS, "entry.route", "entry.key")
+    by_phone = clients.select(F.col("cli_num").alias("po_num"), F.lit("phone").alias("route"), F.explode(phones).alias("key"))
+    by_email = (
+        contacts.where(F.col("email_addr").isNotNull())
+        .join(clients.select("cli_num"), "cli_num", "left_semi")
+        .select(F.col("cli_num").alias("po_num"), F.lit("email").alias("route"), fold("email_addr").alias("key"))
     )
+    return by_phone.unionByName(by_email).distinct()
 
 
 def attribute_leads(
@@ -115,6 +103,7 @@ def attribute_leads(
     clients: DataFrame,
     contacts: DataFrame,
     *,
+    issued: DataFrame | None = None,
     phone_days: tuple[int, int] = (2, 180),
     email_days: tuple[int, int] = (2, 366),
 ) -> DataFrame:
@@ -122,12 +111,18 @@ def attribute_leads(
 
     Sales of leads marked as duplicates are blanked. ``leads`` comes from
     :func:`clean_leads`, ``sales`` from ``new_business_value``; clients (cli_num, cli_nm and
-    three phone columns), contacts (cli_num, email_addr).
+    three phone columns), contacts (cli_num, email_addr). ``issued`` (pol_num, po_num,
+    pol_iss_dt) names the policies sold; given the plain policy table, a policy is priced only
+    once a lead has met it.
+
+    Leads and sales meet on ids and dates alone, each route over its own interval: sales within
+    reach of the leads' dates, of owners with a lead's phone or address. What is shown of a
+    sale joins the pairs afterwards, so a phone number that many clients and leads share
+    multiplies narrow rows only.
     """
     require(clients, "clients", "cli_num", "cli_nm", *PHONES)
     sale_cols = [*SALE_TEXT, *SALE_AMOUNTS]
-    sold = sale_contacts(sales, clients, contacts)
-    sold = sold.toDF(*[f"s_{c}" for c in sold.columns])
+    sale_key = ["pol_num", "po_num", "pol_iss_dt"]
     lead_keys = F.array_compact(
         F.array(
             *[
@@ -136,22 +131,51 @@ def attribute_leads(
             ]
         )
     )
-    asked = leads.select("id", "createddate", "status", F.explode(lead_keys).alias("e")).select(
-        "id", "createddate", "status", "e.route", "e.key"
+    duplicate = F.coalesce(F.lower(F.trim("status")).contains("duplicate"), F.lit(False))
+    asked = (
+        leads.select("id", "createddate", duplicate.alias("duplicate"), F.explode(lead_keys).alias("e"))
+        .select("id", "createddate", "duplicate", "e.route", "e.key")
+        .distinct()
     )
-    # Both routes meet in one join over the wider interval; each then keeps its own.
-    low, high = (pick(phone_days[i], email_days[i]) for i, pick in enumerate((min, max)))
-    pairs = interval_join(
-        asked, sold, [("route", "s_route"), ("key", "s_key")], "createddate", "s_pol_iss_dt", low, high
+    reach = leads.agg(
+        F.date_add(F.min("createddate"), min(phone_days[0], email_days[0])).alias("from"),
+        F.date_add(F.max("createddate"), max(phone_days[1], email_days[1])).alias("to"),
+    ).select(F.struct("*")).scalar()
+    wanted = asked.select("route", "key").distinct()
+    owners = contact_entries(clients, contacts).join(wanted, ["route", "key"], "left_semi")
+    sold = (
+        (sales if issued is None else issued).select(*sale_key)
+        .where(F.col("pol_iss_dt").between(reach["from"], reach["to"]))
+        .distinct()
+        .join(owners, "po_num")
+        .select(*[F.col(c).alias(f"s_{c}") for c in (*sale_key, "route", "key")])
+    )
+    pairs = None
+    for route, (low, high) in (("phone", phone_days), ("email", email_days)):
+        met = interval_join(
+            asked.where(F.col("route") == route),
+            sold.where(F.col("s_route") == route).drop("s_route"),
+            [("key", "s_key")],
+            "createddate",
+            "s_pol_iss_dt",
+            low,
+            high,
+        )
+        found = met.select("id", "duplicate", "route", "key", *[F.col(f"s_{c}").alias(c) for c in sale_key])
+        pairs = found if pairs is None else pairs.unionByName(found)
+    met_sales = sales.join(pairs.select(*sale_key).distinct(), sale_key, "left_semi")
+    people = clients.select(F.col("cli_num").alias("po_num"), "cli_nm", normalize_phone("mobl_phon_num").alias("mobile"))
+    addresses = contacts.select(F.col("cli_num").alias("po_num"), "email_addr")
+    # A phone match shows that phone, an e-mail match the owner's mobile number.
+    shown = (
+        pairs.join(met_sales, sale_key)
+        .join(people, "po_num")
+        .join(addresses, "po_num", "left")
+        .withColumn("mobl_phon_num", F.when(F.col("route") == "phone", F.col("key")).otherwise(F.col("mobile")))
+        .where((F.col("route") == "phone") | (fold("email_addr") == F.col("key")))
+        .select("id", "duplicate", *sale_cols)
     )
-    gap = F.datediff("s_pol_iss_dt", "createddate")
-    within = F.when(F.col("route") == "phone", gap.between(*phone_days)).otherwise(gap.between(*email_days))
-    matched = null_when(
-        pairs.where(within),
-        F.lower(F.trim("status")).contains("duplicate"),
-        [f"s_{c}" for c in SALE_TEXT],
-        [f"s_{c}" for c in SALE_AMOUNTS],
-    ).select("id", *[F.col(f"s_{c}").alias(c) for c in sale_cols])
+    matched = null_when(shown, F.col("duplicate"), [*SALE_TEXT], [*SALE_AMOUNTS]).select("id", *sale_cols)
     return leads.join(matched.distinct(), "id", "left").select(*LEAD, *sale_cols)
 
 

@@ -44,6 +44,18 @@ def partitions(t: Tables):
     return sources.read_partition(t.spark, path, "l_returnflag", "R")
 
 
+@query("s12_history_append", "l_returnflag:s month:D n:l amt:d", MONTH_TOTALS)
+def history_append(t: Tables):
+    """A history folder that is read to find what it lacks and written to by partition."""
+    path = fresh(t, "history")
+    known = month_totals(t)
+    sources.write_partitions(known.where("l_returnflag <> 'R' and month(month) < 7"), path, "l_returnflag")
+    history = sources.read_table(t.spark, path)
+    new = known.join(history.select("l_returnflag", "month"), ["l_returnflag", "month"], "left_anti")
+    sources.write_partitions(history.unionByName(new), path, "l_returnflag")
+    return sources.read_table(t.spark, path)
+
+
 @query("s03_read_format", "n_nationkey:l n_name:s n:l",
        "select n.n_nationkey, n.n_name, count(*) as n from nation n join customer c on n.n_nationkey = c.c_nationkey group by 1, 2")
 def read_format(t: Tables):

@@ -12,7 +12,7 @@ from ..operators import settle
 from ..plans.agent_pack import ADVICE_TEXT
 from ..session import shared_dir
 from .entities import REPORT_DATE
-from .registry import Tables, query
+from .registry import REGISTRY, Tables, query
 
 RPT = f"date '{REPORT_DATE}'"
 SINGLE = ("UL035", "R07", "R21")
@@ -77,7 +77,13 @@ select x.* exclude (gap, g1, g2, days), days as pol_eff_days, 1 - if_first_pol a
 from x"""
 
 
+STORED = "stored coverage fact"
+
+
 def fact(t: Tables):
+    """The coverage fact; the stored one, once :func:`stored_fact` has written it for these tables."""
+    if STORED in t._seen:
+        return t._seen[STORED]
     return plans.coverage_fact(
         t.e_coverage, t.e_policy, t.e_agent, t.e_link, t.e_client, t.e_candidate, t.e_rate_quarter, t.e_tier,
         REPORT_DATE, single_plans=SINGLE,
@@ -98,9 +104,11 @@ query(
 
 def stored_fact(t: Tables):
     """The fact as the reports find it in production: written once, read back by columns."""
-    path = f"{shared_dir(t.spark)}/tidewell-fact-{uuid.uuid4().hex}"
-    sources.write_table(fact(t), path)
-    return sources.read_table(t.spark, path)
+    if STORED not in t._seen:
+        path = f"{shared_dir(t.spark)}/tidewell-fact-{uuid.uuid4().hex}"
+        sources.write_table(fact(t), path)
+        t._seen[STORED] = sources.read_table(t.spark, path)
+    return t._seen[STORED]
 
 
 def agents(t: Tables):
@@ -287,6 +295,16 @@ query(
     LEADS_SQL,
 )(next_leads)
 
+query(
+    "d46_lead_lists",
+    "agt_cd:l pol_num:s",
+    f"select agt_cd, string_agg(cast(pol_num as varchar), ',' order by rn2) as pol_num from ({LEADS_SQL}) where rn2 <= 3 group by 1",
+)(lambda t: plans.top_policies(next_leads(t), "p_1").withColumn("pol_num", F.concat_ws(",", F.col("pol_num").cast("array<string>"))))
+
+query("d47_title_dates", "agt:l title_month:D", "select agt_cd as agt, date '2000-06-15' as title_month from e_programme")(
+    lambda t: plans.title_dates(t.e_programme, REPORT_DATE)
+)
+
 QUALIFIED_CTE = f"""al as (select agt_cd, coalesce(monthly_allowance, 0) * 1000 as monthly_allowance,
     try_strptime(qualify_date, '%Y%m')::date as q from e_allowance),
 q0 as (select ag.*, coalesce(al.monthly_allowance, 0) as monthly_allowance, al.q from ag left join al on ag.agt_cd = al.agt_cd),
@@ -464,3 +482,39 @@ def relation(t: Tables):
     same = F.col("po_num") == F.col("cli_num")
     rows = rows.withColumn("gap", F.when(~same, F.year("b2") - F.year("b1")))
     return rows.withColumn("relation", owner_relation(same, "gap", "s1", "s2"))
+
+
+PACK = (
+    "d40_agent_kpis", "d41_agent_ratios", "d42_sales_by_month", "d42_sales_by_type", "d43_claim_kpis", "d44_retention",
+    "d45_lapse_risks", "d45_lapse_risk_lists", "d46_next_leads", "d46_lead_lists", "d47_agent_page1", "d48_agent_page2",
+    "d49_advice_en", "d50_agent_overview",
+)
+PACK_MONTH = "2000-05"
+
+
+@query(
+    "s14_pack_exports",
+    "report:s agt_cd:l report_month:s n:l",
+    " union all ".join(
+        f"select '{name}' as report, m.agt_cd, '{PACK_MONTH}' as report_month, count(*) as n "
+        f"from (select distinct agt_cd from e_programme) m left join (select agt_cd from ({REGISTRY[name].sql})) r on m.agt_cd = r.agt_cd group by 2"
+        for name in PACK
+    ),
+)
+def pack_exports(t: Tables):
+    """All outputs of the pack, from one stored fact, stamped, joined to the programme, and read back."""
+    stored_fact(t)
+    reports = {name: REGISTRY[name].build(t) for name in PACK}
+    members = t.e_programme.select("agt_cd").distinct()
+    folder = f"{shared_dir(t.spark)}/tidewell-pack-{uuid.uuid4().hex}"
+    written = sources.export_reports(reports, members, folder, stamp={"report_month": PACK_MONTH})
+    stacked = None
+    for name, path in written.items():
+        columns = sources.for_all_agents(members, reports[name].drop("report_month")).columns
+        schema = ", ".join(f"`{c}` {'bigint' if c == 'agt_cd' else 'string'}" for c in (*columns, "report_month"))
+        counted = (
+            sources.read_csv(t.spark, path, schema).groupBy("agt_cd", "report_month").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(name).alias("report"), "agt_cd", "report_month", "n")
+        )
+        stacked = counted if stacked is None else stacked.unionByName(counted)
+    return stacked

@@ -124,13 +124,18 @@ def export_reports(
     path: str,
     *,
     key: str = "agt_cd",
+    stamp: Mapping[str, str] | None = None,
     single: bool = False,
 ) -> dict[str, str]:
-    """Write every report as CSV under ``path``, each joined to the agent list."""
+    """Write every report as CSV under ``path``, each joined to the agent list.
+
+    ``stamp`` puts constant text columns, such as the report month, into every row.
+    """
     require(agents, "agents", key)
     written = {}
+    stamps = {c: F.lit(text) for c, text in (stamp or {}).items()}
     for name, report in reports.items():
         target = f"{path.rstrip('/')}/{name}"
-        write_csv(for_all_agents(agents, report, key), target, single=single)
+        write_csv(for_all_agents(agents, report.drop(*stamps), key).withColumns(stamps), target, single=single)
         written[name] = target
     return written
