@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checks import require
-from ..functions.dates import DateLike, day_shift, month_end, month_shift
+from ..functions.dates import DateLike, day, day_shift, month_end, month_shift
 from ..operators.aggregates import debit_credit_net, signed_sum, sum_if
 from ..operators.joins import lookup_first
 from ..operators.sets import net_of, stack
@@ -245,9 +245,11 @@ def payment_reconciliation(
     as_of: DateLike,
     *,
     days: int = 181,
+    vendor_until: DateLike = v.VENDOR_RECEIPT_UNTIL,
 ) -> DataFrame:
     """Online payments of the last ``days`` days with the receipt number to reconcile on.
 
+    Up to ``vendor_until``, and for vouchers, that is the vendor's number, then the own one.
     Inputs: headers (trxn_dt, btch_num, btch_role, btch_typ, user_id), details (trxn_dt,
     btch_num, btch_role, rep_num, pol_num, prod_cat, rep_typ, prem_stat, trxn_amt,
     reasn_code, bank_cd), outstanding (input_dt, pol_num, receipt_num, trxn_num, bank_cd,
@@ -283,7 +285,7 @@ def payment_reconciliation(
         )
     )
     voucher = F.col("paid_at") == v.VOUCHER_BANK
-    by_vendor = voucher | (F.col("trxn_dt") <= F.lit(v.VENDOR_RECEIPT_UNTIL).cast("date"))
+    by_vendor = voucher | (F.col("trxn_dt") <= F.lit(day(vendor_until)))
     return (
         headers.where(recent)
         .select(*batch, "btch_typ", "user_id")

@@ -43,6 +43,11 @@ def money(c: str) -> str:
     return _MONEY.replace("{0}", c)
 
 
+def away(kept: str, key: str) -> str:
+    """The key, or in rows of which ``kept`` does not hold, a number that no other table has."""
+    return f"case when {kept} then {key} else -1 - ({key}) end"
+
+
 MARGIN_COLUMNS = """
   cast(0.10 + (p_partkey % 7) / 100.0 as decimal(8,4)) as nbv_margin_banca_other_banks,
   cast(0.12 + (p_partkey % 5) / 100.0 as decimal(8,4)) as nbv_margin_other_channel_affinity,
@@ -204,8 +209,8 @@ from {supplier} s join (values (0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (
 ENTITIES["e_group"] = f"""
 select {loc("n_nationkey")} as loc_code, cast(n_nationkey % 10 as bigint) as loc_mrg from {{nation}}"""
 
-ENTITIES["e_mgr_map"] = """
-select s_suppkey as dsr_cd, cast(floor(s_suppkey / 3) as bigint) as mgr_cd from {supplier} where s_acctbal >= 0"""
+ENTITIES["e_mgr_map"] = f"""
+select {away("s_acctbal >= 0", "s_suppkey")} as dsr_cd, cast(floor(s_suppkey / 3) as bigint) as mgr_cd from {{supplier}}"""
 
 ENTITIES["e_location"] = f"""
 select {loc("n_nationkey")} as loc_cd, n_name as loc_desc,
@@ -301,13 +306,13 @@ select c_custkey as po_num,
 from {{customer}}"""
 
 ENTITIES["e_customer_kpi"] = f"""
-select c.*, 'Not VIP' as vip_seg, case when po_num % 8 = 0 then 'Y' else 'N' end as cust_new_ytd,
+select c.*, case po_num % 5 when 0 then 'Gold' when 1 then 'Platinum' when 2 then 'Platinum Elite' else 'Not VIP' end as vip_seg, case when po_num % 8 = 0 then 'Y' else 'N' end as cust_new_ytd,
   date '{REPORT_DATE}' as reporting_date
 from {{e_customer_month}} c"""
 
 ENTITIES["e_product_need"] = """
 select c_custkey as po_num, c_custkey % 2 as need_acc, c_custkey % 3 as need_ci, c_custkey % 4 as need_dis,
-  c_custkey % 1 as need_glh, c_custkey % 5 as need_inv, c_custkey % 6 as need_lp, c_custkey % 7 as need_lts,
+  c_custkey % 2 as need_glh, c_custkey % 5 as need_inv, c_custkey % 6 as need_lp, c_custkey % 7 as need_lts,
   c_custkey % 8 as need_med
 from {customer}"""
 
@@ -322,23 +327,23 @@ ENTITIES["e_collector"] = """
 select s_suppkey as col_code, case when s_suppkey % 2 = 0 then 'PSA01' else 'COL01' end as col_grp
 from {supplier}"""
 
-ENTITIES["e_user"] = """
-select event_id as _id, case event_id % 4
+ENTITIES["e_user"] = f"""
+select {away("event_type = 'signup'", "event_id")} as _id, case event_id % 4
   when 0 then cast(cast(ts as date) as string) || 'T08:00:00'
   when 1 then cast(1704067200000 + event_id * 60000 as string)
   when 2 then 'unknown' else cast(null as string) end as created
-from {events} where event_type = 'signup'"""
+from {{events}}"""
 
-ENTITIES["e_member"] = """
-select event_id as userid, event_id * 2 as keyid,
+ENTITIES["e_member"] = f"""
+select {away("event_type = 'signup' and value >= 2", "event_id")} as userid, event_id * 2 as keyid,
   case when event_id % 3 = 0 then 'active' else 'idle' end as status
-from {events} where event_type = 'signup' and value >= 2"""
+from {{events}}"""
 
-ENTITIES["e_key"] = """
-select event_id * 2 as _id, 'M' || cast(user_id as string) as value, cast(event_id % 2 as int) as activated,
+ENTITIES["e_key"] = f"""
+select {away("event_type = 'signup' and value < 60", "event_id * 2")} as _id, 'M' || cast(user_id as string) as value, cast(event_id % 2 as int) as activated,
   case when event_id % 7 = 0 then 'n/a' else
     cast(date '2000-04-01' + cast(event_id % 90 as int) as string) || ' 10:00:00' end as activationdate
-from {events} where event_type = 'signup' and value < 60"""
+from {{events}}"""
 
 ENTITIES["e_claim"] = """
 select 'C' || cast(event_id % 3000 as string) as claim_id, user_id as policy_number,
@@ -354,9 +359,9 @@ select 'C' || cast(event_id % 3000 as string) as claim_id, user_id as policy_num
   cast(ts as date) as reporting_date
 from {events}"""
 
-ENTITIES["e_claim_case"] = """
-select distinct 'C' || cast(event_id % 3000 as string) as name, 'S' || cast(event_id % 500 as string) as case__c
-from {events} where event_type <> 'view'"""
+ENTITIES["e_claim_case"] = f"""
+select distinct case when event_type <> 'view' then 'C' else 'V' end || cast(event_id % 3000 as string) as name, 'S' || cast(event_id % 500 as string) as case__c
+from {{events}}"""
 
 ENTITIES["e_case"] = """
 select 'S' || cast(k as string) as id, case k % 3 when 0 then 'Easy Claims' when 1 then 'Branch Submission' end as origin
@@ -366,7 +371,7 @@ ENTITIES["e_new_business"] = f"""
 select pol_num, case when pol_num % 2 = 0 then 'SUBMIT' else 'ISSUE' end as type, sbmt_dt as submit_date,
   pol_iss_dt as issue_date, pol_stat_cd as status_code, cast(pol_num % 15 as bigint) as tat_days,
   plan_code_base as plan_code, nb_user_id as nb_user
-from {{e_policy}} where pol_stat_cd <> 'X'"""
+from {{e_policy}}"""
 
 ENTITIES["e_weekly_claim"] = """
 select l_orderkey * 10 + l_linenumber as claim_id,
@@ -411,23 +416,23 @@ select 'LEAD' || lpad(cast(event_id as string), 14, '0') as id,
   cast(user_id % 10 as string) as agent_account_agent_code__c
 from {events}"""
 
-ENTITIES["e_lead_history"] = """
-select id, substr(id, 1, 15) as leadid, createddate, case when ownerid % 3 <> 0 then ownerid end as pol_num,
+ENTITIES["e_lead_history"] = f"""
+select case when leadsource = 'web' and phone is not null then id else 'old' || id end as id, substr(id, 1, 15) as leadid, createddate, case when ownerid % 3 <> 0 then ownerid end as pol_num,
   date '2000-01-31' + cast(ownerid % 5 as int) as image_date
-from {e_lead} where leadsource = 'web' and phone is not null"""
+from {{e_lead}}"""
 
 ENTITIES["e_submission"] = f"""
-select 'api' as source, o_orderkey as pol_num, {money("floor(o_totalprice / 10)")} as batch_trxn_amt,
+select 'api' as source, {away("o_orderpriority <> '1-URGENT'", "o_orderkey")} as pol_num, {money("floor(o_totalprice / 10)")} as batch_trxn_amt,
   cast(o_orderdate as date) as batch_trxn_dt,
   case when o_orderkey % 5 <> 0 then 'ORD' || lpad(cast(o_orderkey as string), 8, '0') end as shopee_order_id,
   case when o_orderkey % 2 = 0 then 'done' else 'open' end as case_status, 1 + o_orderkey % 2 as case_count,
   cast(o_orderdate as date) + 1 as api_import_time
-from {{orders}} where o_orderpriority <> '1-URGENT'
+from {{orders}}
 union all
-select 'api', o_orderkey, {money("floor(o_totalprice / 10)")}, cast(o_orderdate as date),
+select 'api', {away("o_orderstatus = 'P'", "o_orderkey")}, {money("floor(o_totalprice / 10)")}, cast(o_orderdate as date),
   'ORE' || lpad(cast(o_orderkey as string), 8, '0'),
   case when o_orderkey % 2 = 0 then 'done' else 'open' end, 3, cast(o_orderdate as date) + 2
-from {{orders}} where o_orderstatus = 'P'"""
+from {{orders}}"""
 
 ENTITIES["e_scorecard"] = """
 select s.s_suppkey as agt_code, 'Tier ' || cast(s.s_suppkey % 3 as string) as agent_tier,
@@ -455,14 +460,14 @@ select cast(l_shipdate as date) as trxn_dt, l_suppkey as btch_num, case when l_l
   case when l_partkey % 5 = 0 then 'X' else 'A' end as btch_dtl_stat_cd
 from {{lineitem}}"""
 
-ENTITIES["e_outstanding"] = """
-select distinct cast(l_shipdate as date) as input_dt, l_orderkey as pol_num,
+ENTITIES["e_outstanding"] = f"""
+select distinct cast(l_shipdate as date) as input_dt, {away("l_quantity > 5", "l_orderkey")} as pol_num,
   'RN' || cast(l_partkey as string) || '-' || cast(l_linenumber as string) as receipt_num,
   'TX' || cast(l_orderkey as string) as trxn_num, 'OB' || cast(l_suppkey % 3 as string) as bank_cd,
   'REF' || cast(l_partkey as string) as bank_ref,
   case l_partkey % 4 when 0 then '6' when 1 then '8' else '1' end as service_type,
   'B' || cast(l_suppkey % 4 as string) as pmt_type
-from {lineitem} where l_quantity > 5"""
+from {{lineitem}}"""
 
 ENTITIES["e_online"] = """
 select case when o_orderkey % 3 = 0 then o_orderkey + 100000000 else o_orderkey end as pol_num,
@@ -470,8 +475,8 @@ select case when o_orderkey % 3 = 0 then o_orderkey + 100000000 else o_orderkey
   case when o_orderkey % 10 = 0 then 'C' else 'A' end as status
 from {orders}"""
 
-ENTITIES["e_application"] = """
-select o_orderkey + 100000000 as proposal_num, o_orderkey as pol_num from {orders} where o_orderpriority <> '2-HIGH'"""
+ENTITIES["e_application"] = f"""
+select {away("o_orderpriority <> '2-HIGH'", "o_orderkey + 100000000")} as proposal_num, o_orderkey as pol_num from {{orders}}"""
 
 ENTITIES["e_cheque_bank"] = """
 select * from (values ('BK0', 'CHQ0'), ('BK1', 'CHQ1'), ('BK3', 'CHQ3'), ('BK4', cast(null as string)))
@@ -489,12 +494,12 @@ select cast(l_shipdate as date) as trxn_dt, 'BR' || cast(l_suppkey % 5 as string
   case l_partkey % 4 when 0 then 'CS' when 1 then 'AVCS' when 2 then 'CS' else 'TF' end as btch_typ,
   case l_partkey % 3 when 0 then '01' when 1 then '02' else '03' end as reasn_code,
   case when l_partkey % 7 = 0 then 'O' else 'C' end as btch_stat_code, {money("l_extendedprice")} as trxn_amt
-from {{lineitem}} where l_linestatus = 'F'"""
+from {{lineitem}}"""
 ENTITIES["e_return"] = f"""
-select cast(l_shipdate as date) + 3 as trxn_dt, 'BR9' as br_code, l_orderkey as pol_num,
-  l_orderkey * 10 + l_linenumber as dnr_num, 'D' as rec_typ, 'CS' as btch_typ, '01' as reasn_code,
+select cast(l_shipdate as date) + 3 as trxn_dt, 'BR9' as br_code, {away("l_returnflag = 'R'", "l_orderkey")} as pol_num,
+  {away("l_returnflag = 'R'", "l_orderkey * 10 + l_linenumber")} as dnr_num, 'D' as rec_typ, 'CS' as btch_typ, '01' as reasn_code,
   'C' as btch_stat_code, {money("floor(l_extendedprice / 2)")} as trxn_amt
-from {{lineitem}} where l_returnflag = 'R'"""
+from {{lineitem}}"""
 
 ENTITIES["e_exam"] = """
 select distinct 'C' || cast(p_partkey % 12 as string) as class_cd,
@@ -502,16 +507,16 @@ select distinct 'C' || cast(p_partkey % 12 as string) as class_cd,
   'EX' || cast(p_partkey % 24 as string) as exam_master_cd
 from {part}"""
 ENTITIES["e_class"] = "select distinct 'C' || cast(p_partkey % 12 as string) as cls_num from {part}"
-ENTITIES["e_attend"] = """
-select s_suppkey * 15 as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd from {supplier}
+ENTITIES["e_attend"] = f"""
+select s_suppkey * 15 as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd from {{supplier}}
 union all
-select s_suppkey * 15, 'C' || cast((s_suppkey + 5) % 12 as string) from {supplier} where s_acctbal > 4000"""
-ENTITIES["e_result"] = """
-select s_suppkey * 15 as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd, 'EX' as training_cat_cd,
-  date '1996-01-01' + cast(s_suppkey % 300 as int) as eff_dt from {supplier} where s_acctbal < 8000
+select {away("s_acctbal > 4000", "s_suppkey * 15")}, 'C' || cast((s_suppkey + 5) % 12 as string) from {{supplier}}"""
+ENTITIES["e_result"] = f"""
+select {away("s_acctbal < 8000", "s_suppkey * 15")} as can_num, 'C' || cast(s_suppkey % 12 as string) as class_cd, 'EX' as training_cat_cd,
+  date '1996-01-01' + cast(s_suppkey % 300 as int) as eff_dt from {{supplier}}
 union all
-select s_suppkey * 15, 'C' || cast((s_suppkey + 5) % 12 as string), case when s_suppkey % 4 = 0 then 'EX' else 'TR' end,
-  date '1996-06-01' + cast(s_suppkey % 300 as int) from {supplier} where s_acctbal > 4000"""
+select {away("s_acctbal > 4000", "s_suppkey * 15")}, 'C' || cast((s_suppkey + 5) % 12 as string), case when s_suppkey % 4 = 0 then 'EX' else 'TR' end,
+  date '1996-06-01' + cast(s_suppkey % 300 as int) from {{supplier}}"""
 ENTITIES["e_course"] = """
 select user_id % 100 as agt_code, 'CRS' || cast(event_id % 5 as string) as class_code,
   case when event_id % 4 = 0 then 'P' else 'C' end as stat_cd, cast(ts as date) as end_dt from {events}"""
@@ -539,7 +544,8 @@ select l_orderkey as pol_num, case when l_linenumber = 1 then {plan("l_orderkey"
   case when l_partkey % 7 = 0 then '116' else '115' end as reasn_cd,
   case when l_partkey % 9 <> 0 then {money("floor(l_extendedprice / (1 + l_partkey % 7))")} end as crr_valu
 from {{lineitem}}"""
-ENTITIES["e_commission_bk"] = "select * from {e_commission} where crr_valu > 20000"
+ENTITIES["e_commission_bk"] = f"""
+select {away("crr_valu > 20000", "pol_num")} as pol_num, plan_cd, agt_cd, crr_typ, reasn_cd, crr_valu from {{e_commission}}"""
 ENTITIES["e_change_ctl"] = """
 select o_orderkey as pol_num, o_orderkey * 2 as pos_num, cast(o_orderdate as date) + 40 as comp_date,
   cast(o_orderdate as date) + 30 as ho_recv_dt, cast(o_orderdate as date) - 3 as sbmt_date,
@@ -555,19 +561,19 @@ from {orders}"""
 ENTITIES["e_pos_batch"] = """
 select k as btch_num, 'BC' || cast(k % 4 as string) as btch_branch, 'S' || cast(k % 7 as string) as btch_submit_by
 from (select distinct o_orderkey % 50 as k from {orders}) batches"""
-ENTITIES["e_branch"] = "select 'BR' || cast(n_nationkey as string) as br_code from {nation} where n_regionkey <> 4"
-ENTITIES["e_termination"] = """
-select o_orderkey as pol_num, cast(o_orderdate as date) + cast(o_orderkey % 200 as int) as trmn_actv_dt
-from {orders} where o_orderstatus <> 'O'"""
+ENTITIES["e_branch"] = "select case when n_regionkey <> 4 then 'BR' else 'XB' end || cast(n_nationkey as string) as br_code from {nation}"
+ENTITIES["e_termination"] = f"""
+select {away("o_orderstatus <> 'O'", "o_orderkey")} as pol_num, cast(o_orderdate as date) + cast(o_orderkey % 200 as int) as trmn_actv_dt
+from {{orders}}"""
 
 ENTITIES["e_med"] = f"""
 select o_orderkey as pol_num, o_orderkey % 3 as med_seq, cast(o_orderdate as date) as med_date,
   'H' || cast(o_orderkey % 4 as string) as med_hosp,
   case when o_orderkey % 10 <> 0 then cast(o_orderdate as date) + 2 end as med_comp_dt,
   {money("floor(o_totalprice / 100)")} as in_exps from {{orders}}"""
-ENTITIES["e_med_client"] = """
-select o_orderkey as pol_num, o_orderkey % 3 as med_seq, case when o_orderkey % 7 <> 0 then 'Client ' || cast(o_custkey as string) end as ins_nm
-from {orders} where o_orderstatus <> 'P'"""
+ENTITIES["e_med_client"] = f"""
+select {away("o_orderstatus <> 'P'", "o_orderkey")} as pol_num, o_orderkey % 3 as med_seq, case when o_orderkey % 7 <> 0 then 'Client ' || cast(o_custkey as string) end as ins_nm
+from {{orders}}"""
 ENTITIES["e_med_item"] = """
 select l_orderkey as pol_num, l_orderkey % 3 as med_seq, cast(o.o_orderdate as date) as med_date,
   'H' || cast(l_orderkey % 4 as string) as med_hosp, 'X' || cast(l_linenumber as string) as med_supp_exam
@@ -590,14 +596,14 @@ select conv_id as pol_num, conv_id * 100 + turn as csd_num, date '2019-10-01' +
   case turn % 4 when 0 then '03' when 1 then '40' when 2 then '42' else '50' end as track_typ,
   date '2019-10-01' + cast(conv_id % 300 as int) as trxn_dt, case when role = 'user' then text end as remark
 from {conversations}"""
-ENTITIES["e_service"] = """
-select conv_id * 100 + turn as csd_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
+ENTITIES["e_service"] = f"""
+select {away("role <> 'system'", "conv_id * 100 + turn")} as csd_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
   'ST' || cast(turn % 3 as string) as cisc_status, date '2019-10-05' + cast(conv_id % 300 as int) as comp_dt,
-  'RC' || cast(conv_id % 5 as string) as result_cd, role as cisc_typ from {conversations} where role <> 'system'"""
-ENTITIES["e_vendor_call"] = """
-select conv_id * 100 + turn as csd_num, conv_id as pol_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
+  'RC' || cast(conv_id % 5 as string) as result_cd, role as cisc_typ from {{conversations}}"""
+ENTITIES["e_vendor_call"] = f"""
+select {away("role = 'user'", "conv_id * 100 + turn")} as csd_num, conv_id as pol_num, date '2019-10-01' + cast(conv_id % 300 as int) as cntct_dt,
   date '2019-10-03' + cast(conv_id % 300 as int) as import_dt, 'OBC' || cast(turn % 2 as string) as result_obc
-from {conversations} where role = 'user'"""
+from {{conversations}}"""
 
 # Campaign ids look like CPM-UCM-2024-0117: kind at 5, year at 9, day at 11.
 ENTITIES["e_hit_pair"] = """
@@ -618,17 +624,18 @@ select c_custkey as po_num, case when c_custkey % 5 = 0 then 'DRAFT' else 'APPRO
   case when c_custkey % 13 <> 0 then cast(c_custkey % 10 as double) / 20 end as health_base,
   cast(c_custkey % 7 as double) / 20 as inv_base, cast(c_custkey % 4 as double) / 20 as health_rider,
   cast(c_custkey % 9 as double) / 20 as riders from {customer}"""
-ENTITIES["e_tier"] = """
-select s_suppkey as agt_code, s_suppkey as agt_cd,
+ENTITIES["e_tier"] = f"""
+select {away("s_acctbal > 1000", "s_suppkey")} as agt_code, {away("s_acctbal > 1000", "s_suppkey")} as agt_cd,
   case s_suppkey % 4 when 1 then 'MDRT' when 2 then 'COT' when 3 then 'TOT' else 'Platinum' end as tier
-from {supplier} where s_acctbal > 1000"""
-ENTITIES["e_programme"] = "select s_suppkey as agt_cd, s_suppkey % 40 + 50 as m19_per from {supplier} where s_acctbal > -500"
-ENTITIES["e_allowance"] = """
-select s_suppkey as agt_cd, case when s_suppkey % 3 <> 0 then s_suppkey % 5 * 1000 end as monthly_allowance,
+from {{supplier}}"""
+ENTITIES["e_programme"] = f"""
+select {away("s_acctbal > -500", "s_suppkey")} as agt_cd, s_suppkey % 40 + 50 as m19_per from {{supplier}}"""
+ENTITIES["e_allowance"] = f"""
+select {away("s_acctbal < 9000", "s_suppkey")} as agt_cd, case when s_suppkey % 3 <> 0 then s_suppkey % 5 * 1000 end as monthly_allowance,
   case when s_suppkey % 11 <> 0 then '1999' || lpad(cast(s_suppkey % 12 + 1 as string), 2, '0') end as qualify_date
-from {supplier} where s_acctbal < 9000"""
+from {{supplier}}"""
 ENTITIES["e_pack_claim"] = f"""
-select l_orderkey * 10 + l_linenumber as clm_id, l_orderkey as pol_num, cast(l_shipdate as date) as clm_recv_dt,
+select l_orderkey * 10 + l_linenumber as clm_id, {away("l_returnflag = 'A'", "l_orderkey")} as pol_num, cast(l_shipdate as date) as clm_recv_dt,
   case l_partkey % 4 when 0 then 'A' when 1 then 'I' when 2 then 'A' else 'R' end as clm_stat_code,
   {money("floor(l_extendedprice / 100)")} as clm_prvd_amt, {money("floor(l_extendedprice / 200)")} as clm_aprov_amt
-from {{lineitem}} where l_returnflag = 'A'"""
+from {{lineitem}}"""
