@@ -77,7 +77,7 @@ def test_no_turns(spark):
     assert chat.read_back(chat.windows(talk(spark, []))).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op7_chat_windows", "op3_sorted_list_topk"])
+@pytest.mark.parametrize("name", list(queries.SQL))
 def test_queries_match_sql(spark, name):
     df = queries.QUERIES[name](spark, SMALL)
     cursor = duck(SMALL).execute(queries.SQL[name])

@@ -80,16 +80,44 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@register("op10_licence_scan")
-def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tested against a plain scan."""
-    return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+def _licence_sql() -> str:
+    """Every phrase looked for at every word."""
+
+    def places(phrase: str) -> str:
+        words = phrase.split()
+        test = " and ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+        return f"list_filter(range(0, len(w) - {len(words) - 1}), lambda i: {test})"
+
+    def share(wording: str, phrase: str) -> str:
+        body, must = wording.split(), phrase.split()
+        ahead = next(i for i in range(len(body)) if body[i : i + len(must)] == must)
+        hits = " + ".join(
+            f"(case when i + {k - ahead} >= 0 and w[i + {k - ahead + 1}] = '{x}' then 1 else 0 end)" for k, x in enumerate(body)
+        )
+        return f"list_max(list_transform({places(phrase)}, lambda i: ({hits}) / {len(body)}.0::double))"
+
+    base = ", ".join(f"list_transform({places(p)}, lambda i: {{'at': i, 'label': '{label}'}})" for p, label in licences.BASE)
+    more = ", ".join(f"case when len({places(p)}) > 0 then '{label}' end" for label, _, p in licences.TEMPLATES)
+    best = ", ".join(share(wording, p) for _, wording, p in licences.TEMPLATES)
+    return rf"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licences.CAPITALS}', '{licences.SMALL}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+),
+s as (select doc_id, len(w) as n, flatten([{base}]) as b, [{more}] as m, list_max([{best}]) as best from d)
+select doc_id, cast(n as bigint) as n_words, cast(len(b) as bigint) as n_base,
+  list_min(list_transform(b, lambda x: x.at)) as first_word, list_max(list_transform(b, lambda x: x.at)) as last_word,
+  array_to_string(list_sort(list_distinct(list_transform(b, lambda x: x.label))), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(list_transform(b, lambda x: x.label), m))), ',') as labels,
+  coalesce(best, 0.0) as score
+from s
+"""
 
 
-@register("op9_source_mix")
-def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The draws are pseudorandom; tested against the same mix worked out word by word."""
-    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+@register("op10_licence_scan", _licence_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 PROBE = "</s>[INST] ok [/INST]"
