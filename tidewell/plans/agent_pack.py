@@ -424,54 +424,26 @@ def agent_page2(kpis: DataFrame, tiers: DataFrame) -> DataFrame:
 # Advice texts by language and rule; {0} and {1} take the agent's and the group's figure.
 ADVICE_TEXT = {
     "en": {
-        "praise": (
-            "Well done!",
-            "Your recent sales put you among the leading agents of the programme.",
-            "You are on course to keep your status at the check in {0}.",
-            "Keep going to raise your monthly allowance; the next pages list customers to talk to.",
-        ),
-        "open": ("Sales of the last three months are below what you can reach. Some ideas:",),
-        "riders": ("Offer more riders: {0} of your premium comes from riders, {1} for your peers.",),
-        "repeat": ("Return to existing customers: {0} of your premium is repeat business, {1} for your peers.",),
-        "size": ("Look for larger cases: your average case is {0}M, {1}M for your peers.",),
-        "family": ("Reach out to family members: you insured {0} kinds of relatives, {1} for your peers.",),
-        "quality": ("Help customers keep their policies: {0} lapsed after the first year, {1} for your peers.",),
-        "fill": (
-            "Go through this report with your manager or a mentor.",
-            "Take one of the courses on offer to sharpen your skills.",
-            "We look forward to your comeback.",
-        ),
-        "missed": (
-            "Hello {0}, we have not seen new business from you for a while and would like you back.",
-            "As a member of the programme you belong to a chosen group of agents.",
-            "Talk to your manager about how we can help you restart.",
-            "We look forward to your comeback.",
-        ),
+        "praise": ("Strong quarter.", "Premium is on target.", "Next check: {0}.", "See the customer lists."),
+        "open": ("Premium is under target. Where to look:",),
+        "riders": ("Rider share {0}, group {1}.",),
+        "repeat": ("Repeat share {0}, group {1}.",),
+        "size": ("Average case {0}M, group {1}M.",),
+        "family": ("Kinds of relatives insured: {0}, group {1}.",),
+        "quality": ("Lapsed after a year: {0}, group {1}.",),
+        "fill": ("Review this with a manager.", "Pick a course.", "Set a date for the next review."),
+        "missed": ("{0}: no premium in this quarter.", "The membership goes on.", "Ask a manager for a plan.", "See the customer lists."),
     },
     "vi": {
-        "praise": (
-            "Chúc mừng bạn!",
-            "Kết quả gần đây đưa bạn vào nhóm đại lý dẫn đầu của chương trình.",
-            "Bạn đang trên đà giữ vững danh hiệu ở kỳ xét {0}.",
-            "Hãy tiếp tục để tăng trợ cấp hàng tháng; các trang sau nêu những khách hàng nên gặp.",
-        ),
-        "open": ("Doanh số ba tháng qua chưa đúng với khả năng của bạn. Vài gợi ý:",),
-        "riders": ("Hãy giới thiệu thêm sản phẩm bổ trợ: bạn đạt {0} phí từ bổ trợ, đồng nghiệp đạt {1}.",),
-        "repeat": ("Hãy quay lại khách hàng cũ: {0} phí của bạn từ khách cũ, đồng nghiệp đạt {1}.",),
-        "size": ("Hãy tìm hợp đồng lớn hơn: trung bình của bạn là {0} triệu, đồng nghiệp là {1} triệu.",),
-        "family": ("Hãy tư vấn cho người thân của khách: bạn có {0} loại quan hệ, đồng nghiệp có {1}.",),
-        "quality": ("Hãy giúp khách duy trì hợp đồng: {0} mất hiệu lực sau năm đầu, đồng nghiệp là {1}.",),
-        "fill": (
-            "Hãy trao đổi báo cáo này với quản lý hoặc người hướng dẫn.",
-            "Hãy tham gia một khóa học để nâng cao kỹ năng.",
-            "Chúng tôi mong bạn sớm trở lại.",
-        ),
-        "missed": (
-            "Chào {0}, đã lâu chúng tôi chưa thấy hợp đồng mới của bạn và mong bạn trở lại.",
-            "Là thành viên chương trình, bạn thuộc nhóm đại lý được chọn.",
-            "Hãy gặp quản lý để bàn cách chúng tôi có thể hỗ trợ bạn.",
-            "Chúng tôi mong bạn sớm trở lại.",
-        ),
+        "praise": ("Quý tốt.", "Doanh số đạt mục tiêu.", "Kỳ xét tới: {0}.", "Xem danh sách khách hàng."),
+        "open": ("Doanh số dưới mục tiêu. Nên xem:",),
+        "riders": ("Tỷ lệ bổ trợ {0}, nhóm {1}.",),
+        "repeat": ("Tỷ lệ khách cũ {0}, nhóm {1}.",),
+        "size": ("Hợp đồng trung bình {0} triệu, nhóm {1} triệu.",),
+        "family": ("Số loại người thân: {0}, nhóm {1}.",),
+        "quality": ("Mất hiệu lực sau một năm: {0}, nhóm {1}.",),
+        "fill": ("Xem báo cáo với quản lý.", "Chọn một khóa học.", "Hẹn lần xem tới."),
+        "missed": ("{0}: quý này chưa có doanh số.", "Danh hiệu vẫn còn.", "Hỏi quản lý về kế hoạch.", "Xem danh sách khách hàng."),
     },
 }
 
