@@ -24,16 +24,21 @@ from pyspark.sql import functions as F
 
 from .base import BLANKS, col, let, text_of, words
 
-#: The transformed statistics, in order.
+#: Words before each text in its shares; the transformed statistics, in order.
+PRIOR = 10
 STATISTICS = ("size", "word_length", "symbols", "capitals", "marks", "variety", "stutter", "digits")
 
 
 def statistics(text: Column) -> Column:
-    """Array of :data:`STATISTICS` of one whole text; zeros for a text without words."""
+    """Array of :data:`STATISTICS` of one whole text.
 
-    def angle(part: Column, whole: Column) -> Column:
+    Shares are taken as if :data:`PRIOR` words (or as many characters as these have) without
+    anything remarkable stood before the text, so that a single repeat says little in a short one.
+    """
+
+    def angle(part: Column, whole: Column, prior: float) -> Column:
         # the transformation that evens out the variance of a share
-        return F.asin(F.sqrt(F.least(F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0)), F.lit(1.0))))
+        return F.asin(F.sqrt(F.least(part.cast("double") / (whole + F.lit(prior)), F.lit(1.0))))
 
     def made(t: Column, w: Column) -> Column:
         n, chars = F.size(w), F.char_length(F.translate(t, BLANKS, ""))
@@ -45,12 +50,12 @@ def statistics(text: Column) -> Column:
         return F.array(
             F.log1p(n.cast("double")),
             F.log1p(F.coalesce(F.try_divide(chars.cast("double"), n), F.lit(0.0))),
-            angle(among("#*$%&|<>"), chars),
-            angle(among("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars),
-            angle(among("!?"), chars),
-            angle(F.size(F.array_distinct(w)), n),
-            angle(repeats, n),
-            angle(among("0123456789"), chars),
+            angle(among("#*$%&|<>"), chars, 5 * PRIOR),
+            angle(among("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars, 5 * PRIOR),
+            angle(among("!?"), chars, 5 * PRIOR),
+            angle(F.size(F.array_distinct(w)) + PRIOR, n, PRIOR),
+            angle(repeats, n, PRIOR),
+            angle(among("0123456789"), chars, 5 * PRIOR),
         )
 
     return let(text, lambda t: let(words(t), lambda w: made(t, w)))
