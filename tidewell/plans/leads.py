@@ -115,10 +115,10 @@ def attribute_leads(
     pol_iss_dt) names the policies sold; given the plain policy table, a policy is priced only
     once a lead has met it.
 
-    Leads and sales meet on ids and dates alone, each route over its own interval: sales within
-    reach of the leads' dates, of owners with a lead's phone or address. What is shown of a
-    sale joins the pairs afterwards, so a phone number that many clients and leads share
-    multiplies narrow rows only.
+    Leads and sales meet on ids and dates alone, each route over its own interval, and only
+    sales of owners with a lead's phone or address take part. What is shown of a sale joins the
+    pairs afterwards, so a phone number that many clients and leads share multiplies narrow
+    rows only.
     """
     require(clients, "clients", "cli_num", "cli_nm", *PHONES)
     sale_cols = [*SALE_TEXT, *SALE_AMOUNTS]
@@ -137,15 +137,10 @@ def attribute_leads(
         .select("id", "createddate", "duplicate", "e.route", "e.key")
         .distinct()
     )
-    reach = leads.agg(
-        F.date_add(F.min("createddate"), min(phone_days[0], email_days[0])).alias("from"),
-        F.date_add(F.max("createddate"), max(phone_days[1], email_days[1])).alias("to"),
-    ).select(F.struct("*")).scalar()
     wanted = asked.select("route", "key").distinct()
     owners = contact_entries(clients, contacts).join(wanted, ["route", "key"], "left_semi")
     sold = (
         (sales if issued is None else issued).select(*sale_key)
-        .where(F.col("pol_iss_dt").between(reach["from"], reach["to"]))
         .distinct()
         .join(owners, "po_num")
         .select(*[F.col(c).alias(f"s_{c}") for c in (*sale_key, "route", "key")])
