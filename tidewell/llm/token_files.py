@@ -43,7 +43,7 @@ from .base import col
 from .units import Cut, Memory, chunks, per_text, strings
 
 MAGIC = b"TWB1"
-#: Ids in a block, documents in a shard, and shards at most (their bounds are broadcast).
+#: Ids in a block, documents in a shard (and task), and shards at most (their bounds are broadcast).
 BLOCK_IDS = 1 << 20
 SHARD_DOCS = 8192
 MOST_SHARDS = 1 << 14
@@ -280,7 +280,7 @@ def write_token_files(
             yield out()
 
     coded = plain.mapInArrow(code, "shard int, key long, n int, control binary, data binary")
-    in_order = coded.repartition(len(bounds.value) + 1, "shard").sortWithinPartitions(
+    in_order = coded.repartitionById(len(bounds.value) + 1, "shard").sortWithinPartitions(
         "shard", F.asc_nulls_first("key"), "data", "control"
     )
     in_order.mapInArrow(pack, "shard int, block int, start long, n_docs int, n_tokens long, body binary").write.option(

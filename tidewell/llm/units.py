@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are worked on together, and units that a worker remembers.
 CHUNK_BYTES = 8 << 20
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 
 def strings(column) -> pa.Array:
