@@ -21,7 +21,7 @@ def odd_documents(spark, extra=True):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     if not extra:
         return docs
-    for name in ("key", "fp", "size", "n_words", "kept", "id", "row", "score", "start", "number", "block", "w"):
+    for name in ("key", "fp", "size", "n_words", "kept", "id", "row", "score", "start", "number", "block", "w", "turns"):
         docs = docs.withColumn(name, F.lit(7))
     return docs
 

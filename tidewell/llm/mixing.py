@@ -203,8 +203,8 @@ def mixed_documents(
         F.sum("got").alias("got"), F.sort_array(F.collect_list(piece)).alias("pieces")
     )
     # rows alike in id, source and size stand together
-    turns = each.groupBy("key", "source", "size").agg(F.collect_list(F.struct("start", "pass", "got", "pieces")).alias("turns"))
-    turns = turns.select(F.col("key").alias("__key"), F.col("source").alias("__source"), F.col("size").alias("__size"), "turns")
+    turns = each.groupBy("key", "source", "size").agg(F.collect_list(F.struct("start", "pass", "got", "pieces")).alias("__turns"))
+    turns = turns.select(F.col("key").alias("__key"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__turns")
     size, place, turn = free_name(docs, "size_"), free_name(docs, "place_"), free_name(docs, "turn_")
     body = text_of(text)
     known = docs.withColumn(size, F.size(words(body)).cast("bigint"))
@@ -213,9 +213,9 @@ def mixed_documents(
         col(key).eqNullSafe(F.col("__key")) & col(source).eqNullSafe(F.col("__source")) & (col(size) == F.col("__size")),
     )
     alike = Window.partitionBy("__key", "__source", "__size").orderBy(*[col(c).asc_nulls_first() for c in docs.columns])
-    starts = F.array_sort(F.array_distinct(F.col("turns.start")))
+    starts = F.array_sort(F.array_distinct(F.col("__turns.start")))
     mine = met.withColumn(place, F.row_number().over(alike))
-    own = mine.withColumn(turn, F.explode(F.filter("turns", lambda t: t["start"] == F.get(starts, col(place) - 1))))
+    own = mine.withColumn(turn, F.explode(F.filter("__turns", lambda t: t["start"] == F.get(starts, col(place) - 1))))
     some = F.array_join(
         F.flatten(F.transform(col(turn)["pieces"], lambda p: F.slice(words(body), (p["at"] + 1).cast("int"), p["n"].cast("int")))), " "
     )
