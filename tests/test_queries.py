@@ -67,3 +67,10 @@ def test_no_cross_joins_or_python(spark, name):
     text = plan(REGISTRY[name].run(spark, SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "SinglePartition" not in text
+
+
+@pytest.mark.parametrize("name", ["d42_sales_by_month", "d50_agent_overview"])
+def test_stored_fact_is_read_by_columns(spark, name):
+    text = plan(REGISTRY[name].run(spark, SMALL))
+    schemas = re.findall(r"tidewell-fact.*?ReadSchema: struct<(.*?)>", text)
+    assert schemas and all(s.count(":") < 20 for s in schemas)
