@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import BLANKS, col, let, text_of, words
+from .base import BLANKS, col, let, settle, text_of, words
 
 #: Words before each text in its shares; the transformed statistics, in order.
 PRIOR = 10
@@ -85,9 +85,13 @@ class Discriminant:
 
     def score(self, text: Column) -> Column:
         """Chance of label 1, from 0 to 1."""
+        return self.score_of(statistics(text))
+
+    def score_of(self, x: Column) -> Column:
+        """The same for a statistics array."""
         if self.constant is not None:
             return F.lit(self.constant)
-        odds = let(statistics(text), self.log_odds)
+        odds = let(x, self.log_odds)
         return F.lit(1.0) / (1 + F.exp(-F.greatest(F.least(odds, F.lit(500.0)), F.lit(-500.0))))
 
 
@@ -106,12 +110,26 @@ def fit(
 
     ``pooling`` is the weight of the pooled covariance, ``shrinkage`` that of the diagonal.
     """
+    # The statistics are worked out before the join, so that no text is shuffled.
+    x = docs.select(col(key).alias("__id"), statistics(text_of(text)).alias("x"))
+    return fit_statistics(x, labels, key=key, label=label, rows=rows, pooling=pooling, shrinkage=shrinkage)
+
+
+def fit_statistics(
+    x: DataFrame,
+    labels: DataFrame,
+    *,
+    key: str = "doc_id",
+    label: str = "quality",
+    rows: Callable[[Column], Column] | None = None,
+    pooling: float = 0.2,
+    shrinkage: float = 0.05,
+) -> Discriminant:
+    """:func:`fit` from the statistics array ``x`` of each id ``__id``."""
     marks = labels.where(col(key).isNotNull() & col(label).isNotNull())
     if rows is not None:
         marks = marks.where(rows(col(key)))
     marks = marks.groupBy(col(key).alias("__key")).agg((F.min(col(label)) >= 1).cast("int").alias("side"))
-    # The statistics are worked out before the join, so that no text is shuffled.
-    x = docs.select(col(key).alias("__id"), statistics(text_of(text)).alias("x"))
     taught = x.join(marks, F.col("__id") == F.col("__key"))
     d = len(STATISTICS)
     pairs = [(i, j) for i in range(d) for j in range(i + 1)]
@@ -141,6 +159,19 @@ def fit(
     return Discriminant(means, np.array(factors), np.array(offsets))
 
 
+def classify(
+    docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.7, **fitting
+) -> DataFrame:
+    """``key``, ``score`` and ``predicted`` of each row of ``docs``, by a model fitted on those with a label.
+
+    The texts are read once: their statistics are settled, and the model is fitted and applied to them.
+    """
+    x = settle(docs.select(col(key).alias("__id"), statistics(text_of(text)).alias("x")))
+    model = fit_statistics(x, labels, key=key, **fitting)
+    score = x.select(F.col("__id").alias(key), model.score_of(F.col("x")).alias("score"))
+    return score.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
 def scored(docs: DataFrame, model: Discriminant, *, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (1 from the threshold on)."""
     return docs.withColumn("score", model.score(text_of(text))).withColumn(

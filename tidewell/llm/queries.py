@@ -68,10 +68,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scores are learned; tested by accuracy on the rows held out."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
-    model = discriminant.fit(docs, labels, rows=lambda key: ~discriminant.held_out(key))
-    return discriminant.scored(docs, model).select(
-        "doc_id", discriminant.held_out(docs["doc_id"]).alias("held_out"), "score", "predicted"
-    )
+    out = discriminant.classify(docs, labels, rows=lambda key: ~discriminant.held_out(key))
+    return out.select("doc_id", discriminant.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 @register("op6_simhash_golay")
