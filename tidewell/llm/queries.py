@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, discriminant, licences, mixing, pieces, rules, simhash, token_counts, token_files, topk
+from . import chat, discriminant, licences, mixing, pieces, repair, rules, simhash, token_counts, token_files, topk
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,9 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 @register("op3_sorted_list_topk", TOPK_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 50 == 0)
+
+
+@register("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest edits with their ties are found by a program over states; tested against every edit string."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
