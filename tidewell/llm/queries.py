@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, discriminant, licences, mixing, pieces, repair, rules, simhash, token_counts, token_files, topk
+from . import chat, discriminant, licences, mixing, pieces, repair, rules, simhash, token_counts, token_files, topk, whitening
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cheapest edits with their ties are found by a program over states; tested against every edit string."""
     return repair.repair_damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@register("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against the eigenvectors of the covariance."""
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding")))
