@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, discriminant, licences, mixing, pieces, repair, rules, simhash, token_counts, token_files, topk, whitening
+from . import chat, discriminant, licences, mixing, pieces, repair, rules, simhash, token_counts, token_files, topk, toxicity, whitening
 from .base import folder, share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against the eigenvectors of the covariance."""
     return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
+@register("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores are learned; the model is tested against plain Python, the scores on the rows held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    out = toxicity.classify(docs, labels, rows=lambda key: ~toxicity.held_out(key))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
