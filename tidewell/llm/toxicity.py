@@ -24,7 +24,11 @@ own, in learning and in scoring), one that says which keys the model has, and th
 frequent keys. Keys that pass the filter and aren't among those are joined with the table.
 
 Words are runs of characters other than ASCII blanks, in small ASCII letters, without ASCII marks
-around them, and are handled as 64-bit hashes.
+around them. They are counted by hashes of 64 bits, of which those that are not rare keep 32, so that an
+expression is one number.
+
+Texts of labelled rows are shuffled once to meet their labels and kept in a table; a filter over
+the labels' ids leaves most other texts out before. Nothing else that is shuffled holds texts.
 
 Defined results: a null text counts as empty, and an empty text differs by nothing; documents whose labels
 disagree count as toxic; null labels and ids teach nothing; without rows of both labels every text
@@ -38,6 +42,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -72,7 +77,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(mixed(before + np.uint64(0x9E3779B97F4A7C15)) ^ word)
+    """Two words of 32 bits; as no word is 0, no pair is a word."""
+    return before << np.uint64(32) | word
 
 
 class Sieve:
@@ -127,8 +133,9 @@ class Keyed:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def keep(self, sieve: Sieve) -> None:
-        """Make one word of all that the filter does not know."""
-        self.units = np.where(sieve.has(self.units), self.units, RARE_WORD)
+        """Make one word of all that the filter does not know, and 32 bits of the others' hashes."""
+        folded = np.maximum(self.units >> np.uint64(32), RARE_WORD + np.uint64(1))
+        self.units = np.where(sieve.has(self.units), folded, RARE_WORD)
 
     def before(self, words: np.ndarray) -> np.ndarray:
         out = np.empty_like(words)
@@ -164,7 +171,7 @@ def _vocabulary(taught: DataFrame, rare: int) -> DataFrame:
 
 
 def _expressions(taught: DataFrame, sieve) -> DataFrame:
-    """``h``, ``w`` and the documents ``n0`` and ``n1`` of each label that hold w after h."""
+    """``pair`` (h and w) and the documents ``n0`` and ``n1`` of each label that hold w after h."""
 
     def count(batches):
         known = Sieve(sieve.value)
@@ -180,14 +187,11 @@ def _expressions(taught: DataFrame, sieve) -> DataFrame:
             toxic = side[owners[once].astype(np.int64)]
             n1 = np.bincount(place[toxic], minlength=len(first))
             n0 = np.bincount(place[~toxic], minlength=len(first))
-            at = once[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n0.astype(np.int64)), pa.array(n1.astype(np.int64))],
-                ["h", "w", "n0", "n1"],
-            )
+            keys = pairs[once][first].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n0), pa.array(n1)], ["pair", "n0", "n1"])
 
-    parts = taught.select("text", "side").mapInArrow(count, "h long, w long, n0 long, n1 long")
-    return parts.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    parts = taught.select("text", "side").mapInArrow(count, "pair long, n0 long, n1 long")
+    return parts.groupBy("pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _entries(pairs: DataFrame, discount: float) -> DataFrame | None:
@@ -201,6 +205,7 @@ def _entries(pairs: DataFrame, discount: float) -> DataFrame | None:
     def above(n: Column) -> Column:
         return F.greatest(n - big, F.lit(0.0))
 
+    pairs = pairs.withColumns({"h": F.shiftrightunsigned("pair", 32), "w": F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))})
     ends = pairs.groupBy(F.col("w").alias("key")).agg(
         F.count_if(F.col("n0") > 0).alias("k0"), F.count_if(F.col("n1") > 0).alias("k1"), F.count(F.lit(1)).alias("k")
     )
@@ -239,19 +244,9 @@ def _entries(pairs: DataFrame, discount: float) -> DataFrame | None:
         return F.when(F.col(total) > 0, (above(F.col(n)) + F.col(mass) * q) / F.col(total)).otherwise(q)
 
     more = F.log(whole("n1", "h1", "m1", "p1") / whole("n0", "h0", "m0", "p0")) - base - F.col("w_here") - F.col("h_next")
-    often = often.select("h", "w", more.alias("here"), (n0 + n1).alias("weight"))
-
-    def keyed(batches):
-        for b in batches:
-            key = pair_keys(*[b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("h", "w")])
-            nothing = pa.array(np.zeros(b.num_rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), b.column("here"), nothing, b.column("weight")], ["key", "here", "next", "weight"]
-            )
-
-    schema = "key long, here double, next double, weight long"
+    often = often.select(F.col("pair").alias("key"), more.alias("here"), F.lit(0.0).alias("next"), (n0 + n1).alias("weight"))
     single = words.select("key", "here", "next", (F.col("h0") + F.col("h1") + F.col("k")).cast("long").alias("weight"))
-    entries = single.unionByName(often.mapInArrow(keyed, schema))
+    entries = single.unionByName(often)
     return settle(entries.where("abs(here) > 1e-9 or abs(next) > 1e-9"))
 
 
@@ -460,6 +455,22 @@ def held_out(key: Column) -> Column:
     return F.coalesce(_crc(key) % 3 == 1, F.lit(False))
 
 
+def _taught(docs: DataFrame, marks: DataFrame, key: str, text: str) -> DataFrame:
+    """``text`` and ``side`` of the rows that have a label (``__id``, ``side``), in a table of its own."""
+    spark = docs.sparkSession
+    sieve = spark.sparkContext.broadcast(Sieve.of(marks.select(F.xxhash64("__id"))).words)
+
+    @F.pandas_udf("boolean")
+    def perhaps(ids: pd.Series) -> pd.Series:
+        return pd.Series(Sieve(sieve.value).has(ids.to_numpy(np.int64).view(np.uint64)))
+
+    rows = docs.select(col(key).alias("id"), col(text).cast("string").alias("text")).where(F.col("id").isNotNull())
+    rows = rows.where(perhaps(F.xxhash64(F.col("id").cast(marks.schema["__id"].dataType))))
+    path = folder(spark, "toxicity-taught")
+    rows.join(marks, F.col("id") == F.col("__id")).select("text", "side").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -482,10 +493,7 @@ def classify(
     marks = settle(marks.withColumn("tells", F.floor(_crc(F.col("__id")) / 3) % 4 == 1))
     n, toxic = marks.agg(F.count(F.lit(1)), F.sum("side")).first()
     prior = toxic / n if n else 0.0
-    teachers = marks.where(~F.col("tells")).select("__id", "side")
-    taught = docs.select(col(key).alias("id"), col(text).cast("string").alias("text"))
-    taught = taught.join(teachers, F.col("id") == F.col("__id")).select("text", "side")
-    model = fit(taught, **fitting) if 0 < prior < 1 else None
+    model = fit(_taught(docs, marks.where(~F.col("tells")), key, text), **fitting) if 0 < prior < 1 else None
     found = settle(differences(docs, model, key=key, text=text))
     told = found.join(marks.where("tells"), F.col("id") == F.col("__id")).select("s", "side")
     chance = chances(told, prior)
