@@ -27,7 +27,7 @@ Words are runs of characters other than ASCII blanks, in small ASCII letters, wi
 around them. They are counted by hashes of 64 bits, of which those that are not rare keep 32, so that an
 expression is one number.
 
-Texts of labelled rows are shuffled once to meet their labels and kept in a table; a filter over
+Texts of labelled rows meet their labels once (in a shuffle, unless Spark finds the labels small) and are kept in a table; a filter over
 the labels' ids leaves most other texts out before. Nothing else that is shuffled holds texts.
 
 Defined results: a null text counts as empty, and an empty text differs by nothing; documents whose labels
@@ -56,6 +56,8 @@ from .units import Cut, chunks, per_text, strings
 RARE, DISCOUNT, SHARED_DISCOUNT = 8, 12.0, 0.75
 #: Words of a passage.
 PASSAGE = 2
+#: Bytes of text that are worked on together; a word takes some twenty numbers meanwhile.
+CHUNK_BYTES = 4 << 20
 #: Model entries that go to every task (16 bytes each), and 64-bit words of a filter.
 FREQUENT, SLOTS = 1 << 19, 1 << 19
 #: Parts of a unit of difference, and the differences told apart.
@@ -160,7 +162,7 @@ def _vocabulary(taught: DataFrame, rare: int) -> DataFrame:
     """``key`` of the words of more than ``rare`` of the texts."""
 
     def count(batches):
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK_BYTES):
             words = Keyed(strings(part.column("text")))
             keys = words.units[words.codes]
             found, n = np.unique(keys[_once_a_text(keys, words.owners())], return_counts=True)
@@ -175,7 +177,7 @@ def _expressions(taught: DataFrame, sieve) -> DataFrame:
 
     def count(batches):
         known = Sieve(sieve.value)
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK_BYTES):
             side = part.column("side").to_numpy(zero_copy_only=False).astype(bool)
             words = Keyed(strings(part.column("text")))
             words.keep(known)
@@ -320,7 +322,7 @@ def _differences(docs: DataFrame, model, passage: int) -> DataFrame:
 
     def read(batches):
         lookup = _Lookup(model.value)
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK_BYTES):
             words = Keyed(strings(part.column("text")))
             words.keep(lookup.known)
             codes, n = words.codes, len(words.codes)
@@ -490,7 +492,10 @@ def classify(
     if rows is not None:
         marks = marks.where(rows(col(key)))
     marks = marks.groupBy(col(key).alias("__id")).agg((F.max(col(label)) >= 1).cast("int").alias("side"))
-    marks = settle(marks.withColumn("tells", F.floor(_crc(F.col("__id")) / 3) % 4 == 1))
+    # A table has a known size: while it is small it goes to the texts, then the texts are shuffled to it.
+    path = folder(docs.sparkSession, "toxicity-marks")
+    marks.withColumn("tells", F.floor(_crc(F.col("__id")) / 3) % 4 == 1).write.parquet(path)
+    marks = docs.sparkSession.read.parquet(path)
     n, toxic = marks.agg(F.count(F.lit(1)), F.sum("side")).first()
     prior = toxic / n if n else 0.0
     model = fit(_taught(docs, marks.where(~F.col("tells")), key, text), **fitting) if 0 < prior < 1 else None
