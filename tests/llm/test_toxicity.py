@@ -13,7 +13,7 @@ from tidewell.llm import queries
 from tidewell.llm import toxicity as T
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-RARE, D = 2, 2.0
+D = 2
 
 
 def plain_words(text):
@@ -24,15 +24,13 @@ def plain_words(text):
     return out
 
 
-def plain_differences(taught, texts, rare=RARE, d=D, passage=T.PASSAGE):
+def plain_differences(taught, texts, d=D, passage=T.PASSAGE):
     """The models of the docstring, word by word, without hashes, filters or tables."""
     split = [(plain_words(t), s) for t, s in taught]
-    documents = collections.Counter(w for words, _ in split for w in set(words))
-    known = {w for w, n in documents.items() if n > rare}
     pairs = [collections.Counter(), collections.Counter()]
 
     def after(words):
-        words = ["<start>"] + [w if w in known else "<rare>" for w in words]
+        words = ["<start>", *words]
         return list(zip(words, words[1:], strict=False))
 
     for words, side in split:
@@ -88,7 +86,7 @@ def test_differences_match_plain_models(spark, frequent, passage):
     rows = corpus()
     taught = spark.createDataFrame(rows, "text string, side int").repartition(3)
     texts = [t for t, _ in rows] + ODD + ["vile", "w1 vile w2", "new words only", "w1 " * 3000 + "vile rotten"]
-    model = T.fit(taught, rare=RARE, discount=D, frequent=frequent)
+    model = T.fit(taught, discount=D, frequent=frequent)
     assert len(model.keys) <= frequent < model.entries.count() or frequent == T.FREQUENT
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: r.s for r in T.differences(docs, model, passage=passage).collect()}
@@ -142,7 +140,7 @@ def test_labels_held_out_change_nothing(spark):
     held = T.held_out(F.col("doc_id"))
     spoilt = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     runs = [
-        sorted(map(tuple, T.classify(docs, x, rows=lambda key: ~T.held_out(key), rare=RARE, discount=D).collect()))
+        sorted(map(tuple, T.classify(docs, x, rows=lambda key: ~T.held_out(key), discount=D).collect()))
         for x in (labels, spoilt)
     ]
     assert runs[0] == runs[1]
@@ -153,7 +151,7 @@ def test_awkward_input(spark):
     one_side = spark.createDataFrame([(1, 1), (2, 1), (None, 0), (3, None)], "doc_id long, toxic int")
     two_sides = spark.createDataFrame([(i, int(i > 9)) for i in range(len(ODD))] + [(4, 1), (5, 0)], "doc_id long, toxic int")
     for labels, constant in ((one_side, 1.0), (two_sides, None), (one_side.limit(0), 0.0)):
-        out = T.classify(docs, labels, rare=1, discount=1.0)
+        out = T.classify(docs, labels, discount=1)
         rows = out.collect()
         assert out.columns == ["doc_id", "score", "predicted"] and len(rows) == docs.count()
         assert all(0 <= r.score <= 1 for r in rows)

@@ -10,22 +10,20 @@ says nothing:
     p(w)       = (max(k(w) - d, 0) + d V / (V + 1)) / K                    words of both classes
 
 ``n`` counts documents, ``k`` is the continuation count (after how many different words w stands), and
-``m``, ``M`` are what the discounts D and d take away. Words of few documents are one rare word. Since
-copies of a text repeat its expressions but put no word after a new one, groups of copies count little.
+``m``, ``M`` are what the discounts D and d take away. Since copies of a text repeat its expressions but put no word after a new one, groups of copies count little.
 
 A passage's toxic and ordinary log-likelihoods are divided by its length and compared; a text counts
 by its most toxic passage, however long it is around it. Passages of a text shorter than one are filled up
 with words that say nothing. Differences become chances by a monotone (pool adjacent violators)
 fit on a fourth of the labelled rows, which the models never see.
 
-The counts cover all labelled rows and stay in tables. What leaves them for the tasks is bounded: a
-filter of fixed size that says which words are not rare (a rare word it lets through is simply a word of its
-own, in learning and in scoring), one that says which keys the model has, and the model's most
-frequent keys. Keys that pass the filter and aren't among those are joined with the table.
+The counts cover all words of all labelled rows and stay in tables. What leaves them for the tasks is
+bounded: a filter of fixed size that says which keys the model has, and the model's most frequent
+keys. Keys that pass the filter and aren't among those are joined with the table.
 
 Words are runs of characters other than ASCII blanks, in small ASCII letters, without ASCII marks
-around them. They are counted by hashes of 64 bits, of which those that are not rare keep 32, so that an
-expression is one number.
+around them. They are counted by hashes of 32 bits, so that an expression is one number; words that share
+a hash are one word.
 
 Texts of labelled rows meet their labels once (in a shuffle, unless Spark finds the labels small) and are kept in a table; a filter over
 the labels' ids leaves most other texts out before. Nothing else that is shuffled holds texts.
@@ -46,14 +44,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import col, folder, settle
 from .units import Cut, chunks, per_text, strings
 
-#: A word of at most so many documents is rare; discounts of class counts and of shared continuation counts.
-RARE, DISCOUNT, SHARED_DISCOUNT = 8, 12.0, 0.75
+#: Discounts of class counts and of shared continuation counts.
+DISCOUNT, SHARED_DISCOUNT = 12, 0.75
 #: Words of a passage.
 PASSAGE = 2
 #: Bytes of text that are worked on together; a word takes some twenty numbers meanwhile.
@@ -63,7 +61,8 @@ FREQUENT, SLOTS = 1 << 19, 1 << 19
 #: Parts of a unit of difference, and the differences told apart.
 STEPS, LOWEST, HIGHEST = 32, -4, 8
 
-START, RARE_WORD = np.uint64(1), np.uint64(2)
+#: The word before the first.
+START = np.uint64(1)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -127,18 +126,14 @@ class Keyed:
         small = pc.ascii_lower(cut.units.cast(pa.string()))
         bare = pc.ascii_trim(small, characters=MARKS)
         plain = pc.if_else(pc.equal(bare, ""), small, bare).to_pylist()
-        self.units = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
+        hashed = np.fromiter(map(xxhash.xxh32_intdigest, plain), np.uint64, len(plain))
+        self.units = np.maximum(hashed, START + np.uint64(1))
         some = pc.greater(pc.binary_length(cut.units), 0).to_numpy(zero_copy_only=False)
         word = some[cut.codes] if len(cut.codes) else np.zeros(0, bool)
         self.codes = cut.codes[word]
         self.sizes = per_text(word.astype(np.int64), cut.offsets)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def keep(self, sieve: Sieve) -> None:
-        """Make one word of all that the filter does not know, and 32 bits of the others' hashes."""
-        folded = np.maximum(self.units >> np.uint64(32), RARE_WORD + np.uint64(1))
-        self.units = np.where(sieve.has(self.units), folded, RARE_WORD)
-
     def before(self, words: np.ndarray) -> np.ndarray:
         out = np.empty_like(words)
         out[1:] = words[:-1]
@@ -158,29 +153,13 @@ def _once_a_text(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
 # counts
 
 
-def _vocabulary(taught: DataFrame, rare: int) -> DataFrame:
-    """``key`` of the words of more than ``rare`` of the texts."""
-
-    def count(batches):
-        for part in chunks(batches, "text", CHUNK_BYTES):
-            words = Keyed(strings(part.column("text")))
-            keys = words.units[words.codes]
-            found, n = np.unique(keys[_once_a_text(keys, words.owners())], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    parts = taught.select("text").mapInArrow(count, "key long, n long")
-    return parts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > rare).select("key")
-
-
-def _expressions(taught: DataFrame, sieve) -> DataFrame:
+def _expressions(taught: DataFrame) -> DataFrame:
     """``pair`` (h and w) and the documents ``n0`` and ``n1`` of each label that hold w after h."""
 
     def count(batches):
-        known = Sieve(sieve.value)
         for part in chunks(batches, "text", CHUNK_BYTES):
             side = part.column("side").to_numpy(zero_copy_only=False).astype(bool)
             words = Keyed(strings(part.column("text")))
-            words.keep(known)
             w = words.units[words.codes]
             h = words.before(w)
             pairs, owners = pair_keys(h, w), words.owners()
@@ -196,7 +175,7 @@ def _expressions(taught: DataFrame, sieve) -> DataFrame:
     return parts.groupBy("pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _entries(pairs: DataFrame, discount: float) -> DataFrame | None:
+def _entries(pairs: DataFrame, discount: int) -> DataFrame | None:
     """The model: for each ``key`` what it adds ``here`` and to the word after it (``next``), and its ``weight``.
 
     A word's own entry holds its difference by the words' counts and, for the next word, that of the
@@ -208,15 +187,20 @@ def _entries(pairs: DataFrame, discount: float) -> DataFrame | None:
         return F.greatest(n - big, F.lit(0.0))
 
     pairs = pairs.withColumns({"h": F.shiftrightunsigned("pair", 32), "w": F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))})
-    ends = pairs.groupBy(F.col("w").alias("key")).agg(
-        F.count_if(F.col("n0") > 0).alias("k0"), F.count_if(F.col("n1") > 0).alias("k1"), F.count(F.lit(1)).alias("k")
-    )
     n0, n1 = F.col("n0"), F.col("n1")
-    begins = pairs.groupBy(F.col("h").alias("key")).agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-        F.sum(F.least(n0, big)).alias("m0"), F.sum(F.least(n1, big)).alias("m1"), F.sum(F.least(n0 + n1, big)).alias("m"),
-    )
-    words = settle(ends.join(begins, "key", "full_outer").na.fill(0))
+    sums = {
+        "w": {"k0": (n0 > 0).cast("long"), "k1": (n1 > 0).cast("long"), "k": F.lit(1)},
+        "h": {"n0": n0, "n1": n1, "m0": F.least(n0, big), "m1": F.least(n1, big), "m": F.least(n0 + n1, big)},
+    }
+    # an expression counts for its last word and for its first: two rows that are summed in one shuffle
+    ends = F.array(*[
+        F.struct(F.col(side).alias("key"), *[(v if name in mine else F.lit(0)).cast("long").alias(name) for part in sums.values() for name, v in part.items()])
+        for side, mine in sums.items()
+    ])
+    names = [name for part in sums.values() for name in part]
+    path = folder(pairs.sparkSession, "toxicity-words")
+    pairs.select(F.explode(ends).alias("e")).groupBy("e.key").agg(*[F.sum(f"e.{x}").alias(x) for x in names]).write.parquet(path)
+    words = pairs.sparkSession.read.parquet(path)
     k0, k1 = F.col("k0"), F.col("k1")
     t = words.agg(
         F.sum("k0").alias("K0"), F.sum("k1").alias("K1"), F.sum("k").alias("K"), F.count_if(F.col("k") > 0).alias("V"),
@@ -257,19 +241,17 @@ class Model:
     """``entries`` is the whole model; the arrays are what the tasks get of it."""
 
     entries: DataFrame
-    known: np.ndarray  # words that are not rare
     held: np.ndarray  # keys of the model
     keys: np.ndarray  # the most frequent ones, in order
     here: np.ndarray
     next: np.ndarray
 
 
-def fit(taught: DataFrame, *, rare: int = RARE, discount: float = DISCOUNT, frequent: int = FREQUENT) -> Model | None:
+def fit(taught: DataFrame, *, discount: int = DISCOUNT, frequent: int = FREQUENT) -> Model | None:
     """The model of rows ``text`` and ``side`` (1: toxic); none if a side has no words."""
     spark = taught.sparkSession
-    known = Sieve.of(_vocabulary(taught, rare)).words
     path = folder(spark, "toxicity-expressions")
-    _expressions(taught, spark.sparkContext.broadcast(known)).write.parquet(path)
+    _expressions(taught).write.parquet(path)
     entries = _entries(spark.read.parquet(path), discount)
     if entries is None:
         return None
@@ -277,7 +259,7 @@ def fit(taught: DataFrame, *, rare: int = RARE, discount: float = DISCOUNT, freq
     keys = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     here, after = (top[c].to_numpy()[order].astype(np.float32) for c in ("here", "next"))
-    return Model(entries, known, Sieve.of(entries.select("key")).words, keys[order], here, after)
+    return Model(entries, Sieve.of(entries.select("key")).words, keys[order], here, after)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -286,8 +268,8 @@ def fit(taught: DataFrame, *, rare: int = RARE, discount: float = DISCOUNT, freq
 
 class _Lookup:
     def __init__(self, model: tuple):
-        known, held, self.keys, self.here, self.next = model
-        self.known, self.held = Sieve(known), Sieve(held)
+        held, self.keys, self.here, self.next = model
+        self.held = Sieve(held)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``here``, ``next`` and whether the key must be looked up in the table."""
@@ -324,7 +306,6 @@ def _differences(docs: DataFrame, model, passage: int) -> DataFrame:
         lookup = _Lookup(model.value)
         for part in chunks(batches, "text", CHUNK_BYTES):
             words = Keyed(strings(part.column("text")))
-            words.keep(lookup.known)
             codes, n = words.codes, len(words.codes)
             here, after, ask = lookup.find(words.units)
             start_next, start_ask = lookup.find(np.array([START]))[1:]
@@ -375,7 +356,7 @@ def differences(docs: DataFrame, model: Model | None, *, key: str = "doc_id", te
     if model is None:
         return docs.select(col(key).alias("id"), F.lit(0.0).alias("s"))
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((model.known, model.held, model.keys, model.here, model.next))
+    sent = spark.sparkContext.broadcast((model.held, model.keys, model.here, model.next))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), col(key).alias("id"), col(text).cast("string").alias("text"))
     path = folder(spark, "toxicity-scores")
     _differences(rows, sent, passage).write.parquet(path)
