@@ -4,6 +4,8 @@ from .agent_fact import agency_agents, agent_list, coverage_fact, plan_margins
 from .agent_pack import (  # noqa: F401
     advice,
     agent_kpis,
+    agent_partials,
+    kpis_from_partials,
     agent_overview,
     agent_page1,
     agent_page2,

@@ -7,6 +7,7 @@ All results have one row per agent in ``agt_cd`` unless stated.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from ..functions.dates import (
 from ..functions.text import cut_percent
 from ..operators.aggregates import Metric, count_if, densify, rolling_kpis, top_list_by
 from ..operators.lineage import settle
+from ..operators.partials import monthly_partials, rolling_from_partials
 from ..operators.ranks import median_of, with_mean_rank, with_rank, with_standing
 from ..operators.windows import latest_by, top_n_by
 from . import values as v
@@ -45,32 +47,42 @@ def last_year() -> Column:
     return F.col("last_n_month_eff_cvg").between(-12, -1)
 
 
+def agent_metrics() -> list[Metric]:
+    """The twelve measures: ape, nbv, po, cus, pol, NT, rej, lap, prd, fam, rid, rep."""
+    base = F.col("cvg_typ") == "B"
+    return [
+        Metric("ape", "sum", "adjust_ape", counted()),
+        Metric("nbv", "sum", "nbv", counted()),
+        Metric("po", "distinct", "po_num", counted()),
+        Metric("cus", "distinct", "cli_num", counted()),
+        Metric("pol", "distinct", "pol_num", base & counted()),
+        Metric("NT", "distinct", "pol_num", base & (F.col("is_non_taken") == 1)),
+        Metric("rej", "distinct", "pol_num", base & (F.col("rejected") == 1)),
+        Metric("lap", "distinct", "pol_num", base & (F.col("lapsed") == 1), "last_n_month_end"),
+        Metric("prd", "distinct", "type", counted()),
+        Metric("fam", "distinct", "po_ins_rela", counted()),
+        Metric("rid", "sum", "adjust_ape", counted() & (F.col("cvg_typ") == "R")),
+        Metric("rep", "sum", "adjust_ape", counted() & (F.col("repeat_sales") == 1)),
+    ]
+
+
 def agent_kpis(fact: DataFrame, agents: DataFrame) -> DataFrame:
-    """Twelve measures over the last 1, 12, 3 and 6 months: ``last_mth_ape`` .. ``last_6m_rep``.
+    """:func:`agent_metrics` over the last 1, 12, 3 and 6 months: ``last_mth_ape`` .. ``last_6m_rep``.
 
-    ape, nbv, po, cus, pol, NT, rej, lap, prd, fam, rid, rep. A measure is null where the
-    agent has no row for it in the window.
+    A measure is null where the agent has no row for it in the window.
     """
-    base = F.col("cvg_typ") == "B"
-    return rolling_kpis(
-        of_agents(fact, agents),
-        "agt_cd",
-        "last_n_month_eff_cvg",
-        [
-            Metric("ape", "sum", "adjust_ape", counted()),
-            Metric("nbv", "sum", "nbv", counted()),
-            Metric("po", "distinct", "po_num", counted()),
-            Metric("cus", "distinct", "cli_num", counted()),
-            Metric("pol", "distinct", "pol_num", base & counted()),
-            Metric("NT", "distinct", "pol_num", base & (F.col("is_non_taken") == 1)),
-            Metric("rej", "distinct", "pol_num", base & (F.col("rejected") == 1)),
-            Metric("lap", "distinct", "pol_num", base & (F.col("lapsed") == 1), "last_n_month_end"),
-            Metric("prd", "distinct", "type", counted()),
-            Metric("fam", "distinct", "po_ins_rela", counted()),
-            Metric("rid", "sum", "adjust_ape", counted() & (F.col("cvg_typ") == "R")),
-            Metric("rep", "sum", "adjust_ape", counted() & (F.col("repeat_sales") == 1)),
-        ],
-    )
+    return rolling_kpis(of_agents(fact, agents), "agt_cd", "last_n_month_eff_cvg", agent_metrics())
+
+
+def agent_partials(fact: DataFrame, agents: DataFrame) -> DataFrame:
+    """The measures' monthly partials, to be stored by month; sales by their month, lapses by that of the end."""
+    metrics = [replace(m, month="end_month" if m.month else None) for m in agent_metrics()]
+    return monthly_partials(of_agents(fact, agents), "agt_cd", "cvg_month", metrics)
+
+
+def kpis_from_partials(partials: DataFrame, as_of: DateLike) -> DataFrame:
+    """:func:`agent_kpis` from stored :func:`agent_partials`, for windows that end in the month of ``as_of``."""
+    return rolling_from_partials(partials, "agt_cd", month_number(day(as_of)), agent_metrics())
 
 
 LABELS = ("last_mth", "last_yr", "last_3m", "last_6m")
