@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import col
+from .pieces import LONG, PieceCoder
 from .units import Cut, Memory, chunks, per_text, strings
 
 MAGIC = b"TWB1"
@@ -80,8 +81,34 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 # ---------------------------------------------------------------------------------------------
 # tokenizing
 
-#: Words of these characters are cut and cased here, the others by the library.
-PROVEN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: Words with other characters than these are cut and cased by the library.
+UNPROVEN = r"^$|[^!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
+
+
+class WordMerges:
+    """Merge rounds, as the piece coder makes them, over the bytes of parts of words.
+
+    A part is written as one character for each byte, 256 higher for the last, which the
+    vocabulary marks as a word's end.
+    """
+
+    _build_table, _slot, find = PieceCoder._build_table, PieceCoder._slot, PieceCoder.find
+    rounds, _ranks_at = PieceCoder._rounds, PieceCoder._ranks_at
+
+    def __init__(self, model: dict, alphabet: dict[int, int]):
+        vocabulary, end = model["vocab"], model["end_of_word_suffix"]
+        self.pairs = {
+            (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(model["merges"])
+        }
+        self.base = max(vocabulary.values()) + 1
+        self._build_table()
+        names = [chr(alphabet[b]) for b in range(256)]
+        self.of_point = np.array([vocabulary[n] for n in names] + [vocabulary[n + end] for n in names], np.int32)
+
+    @staticmethod
+    def written(part: str) -> str:
+        plain = part if part.isascii() else part.encode().decode("latin-1")
+        return plain[:-1] + chr(256 + ord(plain[-1]))
 
 
 class WordCoder:
@@ -104,8 +131,11 @@ class WordCoder:
             and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
             and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed" and not cuts[1]["use_regex"]
             and not any(b in s for s in self.special for b in " \t\n\r\x0b\x0c")
+            and spec["model"]["type"] == "BPE" and spec["model"]["end_of_word_suffix"] and not spec["model"].get("dropout")
+            and not spec["model"].get("continuing_subword_prefix") and not spec["model"].get("ignore_merges")
         )
-        self.memory, self.parts = Memory(self._code), {}
+        self.memory = Memory(self._code)
+        self.unproven = "|".join([UNPROVEN, *[re.escape(s) for s in self.special]])
         self.id_kind = "<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         if self.by_word:
             text = cuts[0]["pattern"]["Regex"]
@@ -113,36 +143,36 @@ class WordCoder:
             # the byte-level alphabet: printable bytes stand for themselves, others for 256 and up
             plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
             rest = [b for b in range(256) if b not in plain]
-            self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
-
-    def _merged(self, part: str) -> list[int]:
-        return [t.id for t in self.library.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))]
-
-    def _part(self, part: str) -> list[int]:
-        """For parts of several in a word: marks, endings and the like, which recur."""
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) > 50_000:
-                self.parts.clear()
-            ids = self.parts[part] = self._merged(part)
-        return ids
+            self.merges = WordMerges(spec["model"], {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)})
 
     def _code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found: list = [None] * len(words)
+        """Ids of all words end to end, and how many each has."""
+        # Arrow's regular expressions judge all words at once; long words are the library's
+        proven = pc.invert(pc.match_substring_regex(pa.array(words, pa.string()), self.unproven)).to_pylist()
+        parts: list[str] = []
+        n_parts = np.zeros(len(words), np.int64)
         others = []
         for i, word in enumerate(words):
-            if PROVEN.fullmatch(word) and not any(s in word for s in self.special):
-                parts = self.cut.findall(word.lower())
-                found[i] = self._merged(parts[0]) if len(parts) == 1 else [x for p in parts for x in self._part(p)]
-            elif word:
+            if not proven[i] or len(word) > LONG:
                 others.append(i)
+            elif word.isascii() and word.isalpha():  # one part
+                parts.append(word.lower())
+                n_parts[i] = 1
             else:
-                found[i] = []
-        coded = self.library.encode_batch_fast([words[i] for i in others], add_special_tokens=False) if others else []
-        for i, e in zip(others, coded, strict=True):
-            found[i] = e.ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((x for ids in found for x in ids), np.int32, int(sizes.sum())), sizes
+                cut = self.cut.findall(word.lower())
+                parts += cut
+                n_parts[i] = len(cut)
+        flat, lengths = self.merges.rounds([self.merges.written(p) for p in parts])
+        sizes = per_text(lengths, np.concatenate([[0], np.cumsum(n_parts)]))
+        if not others:
+            return flat, sizes
+        coded = self.library.encode_batch_fast([words[i] for i in others], add_special_tokens=False)
+        ends, pieces, before = np.cumsum(sizes), [], 0
+        for i, e in zip(others, coded, strict=True):  # these have nothing in the rounds' result
+            stop = int(ends[i])
+            pieces += [flat[before:stop], np.array(e.ids, np.int32)]
+            sizes[i], before = len(e.ids), stop
+        return np.concatenate([*pieces, flat[before:]]), sizes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
