@@ -128,3 +128,17 @@ def test_digests(spark):
     got = pieces.digests(pieces.encode_pieces(docs, PIECES)).collect()
     assert by_text(tuple(r) for r in got) == by_text(want)
     assert pieces.encode_pieces(no_documents(spark), PIECES).count() == 0
+
+
+def test_counts_of_texts_with_other_blanks_and_marks(spark):
+    """Curly quotes, dashes, double blanks and foreign blanks are cut like any other text; none goes whole to the library."""
+    kinds = ["“quoted” — dash", "a  b   c ", "x  y  z", "　 w 　v", "tab\t t\n n \r\n r", "y" * 5000, "日本 語 ", " \x1f u \x85 q",
+             "it ' s 's ' t", "  lead", "trail  ", "é ́x", "﻿ b ​ c   d", "1 2  3 ½ 4"]
+    rng = random.Random(4)
+    texts = kinds + ["".join(rng.choice([*"ab1'!—é日 \t\n", "  ", " ", "　", " ", "'s"]) for _ in range(60)) for _ in range(400)]
+    counter = token_counts._counter(public_tokenizers.path("byte_bpe_50k.json"))
+    assert counter.proven(pa.array(texts)).all()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    want = counter.lengths(texts)
+    assert [got[i] for i in range(len(texts))] == want

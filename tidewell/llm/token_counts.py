@@ -1,15 +1,14 @@
 """Token counts with a two-tier lookup on the map side.
 
-Texts are cut into coarse pre-tokens: a blank with what follows it up to the next blank. Blanks
-that stand alone always begin a pre-token of the byte-level pattern, so the counts of the parts
-add up. The first tier is a broadcast table of the corpus's frequent pre-tokens and their
-lengths; the second is each worker's bounded memory, which encodes what it has not met. No
-pre-token is ever shuffled: only each task's list of its frequent ones is, and its length is
-bounded by the frequency asked for. Neither tier changes a result.
+Texts are cut before every blank that something other than white space follows. Such a blank always
+begins a pre-token of the byte-level pattern, whatever stands before it, so the counts of the parts add
+up. The first tier is a broadcast table of frequent pre-tokens and their lengths, found in a
+bounded random sample of the texts (it only saves time); the second is each worker's bounded
+memory, which has the library encode what it has not met. No pre-token is ever shuffled, and neither tier changes a
+result.
 
-Texts for which the cut is not proven (two blanks in a row, characters outside printable ASCII
-and the Latin letters, or a special string of the tokenizer) are encoded whole by the library, as
-are all texts of a tokenizer of another build.
+Texts that hold a special string of the tokenizer, around which blanks are read otherwise, or the
+mark the cut uses, are encoded whole by the library, as are all texts of a tokenizer of another build.
 
 Defined results: a null text counts as empty (0 tokens); an empty table gives no rows; repeated
 rows and null ids are counted row by row.
@@ -17,6 +16,7 @@ rows and null ids are counted row by row.
 
 from __future__ import annotations
 
+import collections
 import functools
 import json
 import os
@@ -33,9 +33,11 @@ from pyspark.sql import types as T
 from .base import col
 from .units import Cut, Memory, chunks, per_text, strings
 
-#: Two blanks, or a character for which library and cut could read classes differently.
-UNPROVEN = r"  |[^\t\n\r\x20-\x7E\x{A1}-\x{17F}]"
-MARK = "\x01"  # not in a proven text
+MARK = "\x01"  # not in a text that is cut
+#: A blank and what may follow it at a cut: no white space of any kind, nor what is taken for it somewhere.
+CUT = r" ([^\x00-\x20\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}-\x{202F}\x{205F}-\x{206F}\x{3000}\x{FEFF}])"
+#: Rows of the sample that the table is made from (expected number), and bytes of them that are read at most.
+SAMPLE, SAMPLE_BYTES = 4096, 64 << 20
 #: Entries of the broadcast table, and the longest pre-token in it: 4 MB at most.
 FREQUENT = 32_768
 LONGEST = 64
@@ -59,7 +61,7 @@ class _Counter:
             and all(pre.get(k) == v for k, v in plain.items())
         )
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
-        self.unproven = "|".join([UNPROVEN, *special])
+        self.unproven = "|".join([MARK, *special])
         self.memory = Memory(lambda units: (np.array(self.lengths(units), np.int32), np.ones(len(units), np.int64)))
 
     def lengths(self, units: list[str]) -> list[int]:
@@ -72,7 +74,7 @@ class _Counter:
 
     @staticmethod
     def cut(texts: pa.Array) -> Cut:
-        return Cut(pc.split_pattern(pc.replace_substring(texts, " ", MARK + " "), MARK))
+        return Cut(pc.split_pattern(pc.replace_substring_regex(texts, CUT, MARK + r" \1"), MARK))
 
 
 @functools.lru_cache(maxsize=2)
@@ -80,32 +82,32 @@ def _counter(path: str) -> _Counter:
     return _Counter(path)
 
 
-def frequent_units(docs: DataFrame, path: str, *, text: str = "text", entries: int = FREQUENT) -> DataFrame:
-    """The corpus's frequent pre-tokens with their token counts: ``unit``, ``tokens``.
+def frequent_units(
+    docs: DataFrame, path: str, *, text: str = "text", entries: int = FREQUENT, sample: int = SAMPLE, seed: int = 1
+) -> DataFrame:
+    """The most frequent pre-tokens of a random sample of the texts, with their token counts: ``unit``, ``tokens``.
 
-    Every text is read. A batch reports the pre-tokens that make up a given share of it, so a
-    batch's report has at most ``entries`` rows.
+    About ``sample`` rows come to one task, which reads the first :data:`SAMPLE_BYTES` of them.
     """
+    n = docs.count()
+    some = docs.select(col(text).alias("text")).sample(min(1.0, sample / max(n, 1)), seed)
 
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path)
-        for batch in chunks(batches, "text"):
+        found, left = collections.Counter(), SAMPLE_BYTES
+        for batch in chunks(batches, "text", 1 << 20):
+            if left < 0:
+                break
             texts = strings(batch.column(0))
+            left -= pc.sum(pc.binary_length(texts)).as_py() or 0
             cut = counter.cut(texts.filter(pa.array(counter.proven(texts))))
-            n = np.bincount(cut.codes, minlength=len(cut.units))
-            # a share of 1 / entries at least, and twice at least
-            often = (n >= max(2, len(cut.codes) / entries)) & (pc.binary_length(cut.units).to_numpy(zero_copy_only=False) <= LONGEST)
-            yield pa.RecordBatch.from_arrays([cut.units.filter(pa.array(often)), pa.array(n[often])], ["unit", "n"])
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(path)
-        for batch in batches:
-            made = counter.lengths(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int32())], ["unit", "tokens"])
+            short = pc.less_equal(pc.binary_length(cut.units), LONGEST).to_numpy(zero_copy_only=False)
+            times = np.bincount(cut.codes, minlength=len(cut.units))
+            found.update(dict(zip(cut.units.filter(pa.array(short)).to_pylist(), times[short].tolist(), strict=True)))
+        units = [u for u, times in found.most_common(entries) if times > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(counter.lengths(units), pa.int32())], ["unit", "tokens"])
 
-    reported = docs.select(col(text).alias("text")).mapInArrow(report, "unit string, n long")
-    most = reported.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(entries)
-    return most.select("unit").mapInArrow(measure, "unit string, tokens int")
+    return some.repartition(1).mapInArrow(count, "unit string, tokens int")
 
 
 def token_counts(
