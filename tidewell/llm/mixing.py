@@ -1,21 +1,24 @@
 """Mixing sources to target weights.
 
 Each source's words, in a fixed order of its documents, form one stream that is cut into blocks
-of a fixed length (the last may be short). A source's target gives it a number of slots. Every
-slot is dealt to an output shard by a pseudorandom draw, so that the counts a source has in the
-shards are multinomial and add up to its slots; slot number q of a source stands for the block
-that a pseudorandom permutation of the source's block numbers gives (a new one for each pass
-over the source). Blocks meet documents by block number. A pass comes to its end before the next
-begins, and the last slot is cut at the target, so a source gets its target to the word and a
-document is taken at most once a pass.
+of a fixed length (the last may be short). A source's target gives it a number of slots. How many
+of them each output shard holds is drawn: every slot picks a shard pseudorandomly, and the picks
+are counted, so a source's counts over the shards are multinomial and add up to its slots. The
+prefix sums of these counts number the slots: a shard holds consecutive slots of a source, mixed
+with those of the others by a pseudorandom place. Slot number q stands for the block that a
+pseudorandom permutation of the source's block numbers gives (a new one for each pass over the
+source). Blocks meet documents by block number. A pass comes to its end before the next begins,
+so no shard repeats what an earlier pass has not given yet; the last slot is cut at the target, so
+a source gets its target to the word and a document is taken at most once a pass.
 
 The permutation is a swap-or-not shuffle: a round pairs each number x with (k - x) mod n, and
 swaps the two or doesn't by a hash of the greater one. It needs no table, and any task can work
 out any slot.
 
-Only DataFrame functions are used. Prefix sums are taken in two steps, within hashed buckets and
-over the buckets' totals, so a source that holds most rows is spread over many tasks. The table
-of sources is the only one sorted as a whole.
+Only DataFrame functions are used. Rows alike in id, source and size are counted before they are
+ordered, so that any number of them is one row there. Prefix sums are taken in two steps, within
+hashed buckets and over the buckets' totals, so a source that holds most rows is spread over many
+tasks. The table of sources is the only one sorted as a whole.
 
 Defined results: a null or empty text has size 0 and nothing is taken of it; null is a source of
 its own, the last one; an empty table gives no rows; repeated rows are mixed row by row; the mix
@@ -33,8 +36,12 @@ BLOCK = 2048
 SHARD_BLOCKS = 1024
 BUCKET_ROWS = 8192
 ROUNDS = 24
-#: Slots that one task makes at a time.
+#: Slots, or rows alike, that one task makes at a time.
 CHUNK = 1 << 16
+#: Shards whose counts are summed in one window.
+SHARD_GROUP = 4096
+#: Numbers below zero over which documents without a block are spread.
+NO_BLOCK = 1 << 20
 
 
 def sources(sized: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -76,33 +83,62 @@ def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x, swap)
 
 
-def slots(each: DataFrame, *, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> DataFrame:
-    """The mix: ``shard``, ``place`` (order in it), ``number`` of the source, ``pass``, ``block``, ``n`` words."""
+def _numbers(rows: DataFrame, count: str, name: str) -> DataFrame:
+    """``rows`` once for each of 0 .. ``count`` - 1, as ``name``; a great count is dealt to several tasks."""
+    count = col(count)
+    parts = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / CHUNK))).alias("chunk"))
+    first = F.col("chunk") * CHUNK
+    each = F.explode(F.sequence(first, F.least(first + CHUNK, count) - 1)).alias(name)
+    return parts.repartition(*parts.columns).select("*", each).drop("chunk")
+
+
+def slot_plan(each: DataFrame, *, block: int) -> DataFrame:
+    """``each`` source of which words are taken, with ``taken``, its ``blocks``, the ``full`` ones, and ``n_slots``."""
     size, taken = F.col("source_size"), F.floor("target")
-    full = F.floor(size / block)
-    plan = (
-        each.where(taken > 0)
-        .withColumn("taken", taken)
-        .withColumn("full", full)
-        .withColumn("blocks", F.ceil(size / block))
-        .withColumn("passes", F.floor(taken / size))
-        .withColumn("rest", taken - F.col("passes") * size)
-        .withColumn("n_slots", F.col("passes") * F.col("blocks") + F.least(F.ceil(F.col("rest") / block), F.col("blocks")))
-    )
+    passes = F.floor(taken / size)
+    blocks = F.ceil(size / block)
+    last = F.least(F.ceil((taken - passes * size) / block), blocks)
+    return each.where(taken > 0).select(
+        "number", "source", "source_size", taken.alias("taken"), F.floor(size / block).alias("full"), blocks.alias("blocks"),
+        (passes * blocks + last).alias("n_slots"),
+    )
+
+
+def shard_counts(plan: DataFrame, *, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> DataFrame:
+    """``plan`` with a row per ``shard`` that holds slots of the source: how many (``drawn``), and the number of the ``first``.
+
+    The counts of a source are one multinomial draw of its slots over equally likely shards.
+    """
     # the table of sources has few rows; one number
     shards = F.greatest(F.ceil(plan.agg(F.sum("n_slots")).scalar() / shard_blocks), F.lit(1))
-    chunk = plan.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_slots") - 1) / CHUNK))).alias("chunk"))
-    spread = chunk.repartition("number", "chunk")
-    first = F.col("chunk") * CHUNK
-    numbered = spread.select("*", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("n_slots")) - 1)).alias("slot"))
+    pick = F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "source", "draw"), shards)
+    draws = _numbers(plan.select("number", "source", "n_slots"), "n_slots", "draw")
+    counts = draws.select("number", pick.alias("shard")).groupBy("number", "shard").agg(F.count(F.lit(1)).alias("drawn"))
+    counts = counts.withColumn("group", F.floor(F.col("shard") / SHARD_GROUP))
+    earlier = Window.partitionBy("number", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    groups = Window.partitionBy("number").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counts.groupBy("number", "group").agg(F.sum("drawn").alias("all"))
+        .select("number", "group", F.coalesce(F.sum("all").over(groups), F.lit(0)).alias("offset"))
+    )
+    first = F.col("offset") + F.coalesce(F.sum("drawn").over(earlier), F.lit(0))
+    return counts.join(offsets, ["number", "group"]).withColumn("first", first).drop("group", "offset").join(plan, "number")
+
+
+def slots(each: DataFrame, *, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> DataFrame:
+    """The mix: ``shard``, ``place`` (order in it), ``number`` of the source, ``slot``, ``pass``, ``block``, ``n`` words."""
+    counts = shard_counts(slot_plan(each, block=block), shard_blocks=shard_blocks, seed=seed)
+    numbered = _numbers(counts, "drawn", "slot").withColumn("slot", F.col("first") + F.col("slot"))
+    size = F.col("source_size")
     rank = F.col("slot") % F.col("blocks")
     turn = F.floor(F.col("slot") / F.col("blocks"))
     before = turn * size + F.least(rank, F.col("full")) * block
     drawn = permuted(rank, F.col("full"), F.lit(seed), F.col("source"), turn)
     return numbered.select(
-        F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "source", "slot"), shards).alias("shard"),
+        "shard",
         F.xxhash64(F.lit(seed), F.lit("place"), "source", "slot").alias("place"),
         "number",
+        "slot",
         turn.alias("pass"),
         F.when(rank < F.col("full"), drawn).otherwise(F.col("full")).alias("block"),
         F.least(F.lit(block), size - F.least(rank, F.col("full")) * block, F.col("taken") - before).alias("n"),
@@ -112,20 +148,25 @@ def slots(each: DataFrame, *, block: int = BLOCK, shard_blocks: int = SHARD_BLOC
 def _streams(sized: DataFrame, each: DataFrame) -> DataFrame:
     """``sized`` with its source's columns and ``start``, the words of the source before the row.
 
-    ``number``, ``bucket`` and ``place`` name a row, also among rows alike.
+    ``key``, ``source``, ``size`` and ``nth`` (from 0, of rows alike) name a row.
     """
-    rows = sized.join(each.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    alike = sized.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
+    rows = alike.join(each.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     buckets = F.greatest(F.ceil(sized.agg(F.count(F.lit(1))).scalar() / BUCKET_ROWS), F.lit(1))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "size"), buckets))
-    ordered = Window.partitionBy("number", "bucket").orderBy(F.col("key").asc_nulls_first(), "size")
-    running = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "size"), buckets)).withColumn("words", F.col("size") * F.col("copies"))
+    earlier = (
+        Window.partitionBy("number", "bucket").orderBy(F.col("key").asc_nulls_first(), "size")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     over = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        rows.groupBy("number", "bucket").agg(F.sum("size").alias("n"))
+        rows.groupBy("number", "bucket").agg(F.sum("words").alias("n"))
         .select("number", "bucket", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("offset"))
     )
-    local = rows.withColumn("place", F.row_number().over(ordered)).withColumn("start", F.coalesce(F.sum("size").over(running), F.lit(0)))
-    return local.join(totals, ["number", "bucket"]).withColumn("start", F.col("start") + F.col("offset")).drop("offset")
+    local = rows.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+    placed = local.join(totals, ["number", "bucket"]).withColumn("start", F.col("start") + F.col("offset"))
+    single = _numbers(placed.drop("offset", "bucket", "words"), "copies", "nth")
+    return single.withColumn("start", F.col("start") + F.col("nth") * F.col("size")).drop("copies")
 
 
 def _taken(sized: DataFrame, *, block: int, shard_blocks: int, seed: int, **shares) -> DataFrame:
@@ -133,17 +174,19 @@ def _taken(sized: DataFrame, *, block: int, shard_blocks: int, seed: int, **shar
     each = settle(sources(sized, **shares))
     rows = _streams(sized, each)
     end = F.col("start") + F.col("size")
+    # what has no words meets no slot
+    none = F.array(-1 - F.pmod(F.xxhash64("key", "nth"), F.lit(NO_BLOCK)))
     parts = rows.select(
         "*",
-        F.explode_outer(
-            F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block)))
+        F.explode(
+            F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))).otherwise(none)
         ).alias("block"),
     )
     at = F.greatest(F.col("start"), F.col("block") * block)
     parts = parts.withColumn("from", at - F.col("block") * block).withColumn(
         "length", F.least(end, (F.col("block") + 1) * block) - at
     ).withColumn("in_document", at - F.col("start"))
-    made = slots(each, block=block, shard_blocks=shard_blocks, seed=seed).select("number", "pass", "block", "n")
+    made = slots(each, block=block, shard_blocks=shard_blocks, seed=seed)
     # The slots grow with the corpus, but are estimated by the table of sources they come from.
     met = parts.join(made.hint("merge"), ["number", "block"], "left")
     return met.withColumn("got", F.greatest(F.least(F.coalesce("n", F.lit(0)) - F.col("from"), F.col("length")), F.lit(0)))
@@ -169,13 +212,42 @@ def mix(
     seed: int = 0,
     **shares,
 ) -> DataFrame:
-    """``key``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``."""
+    """``key``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``.
+
+    ``first_shard`` and ``last_shard`` are the least and greatest output shard that holds words of it, or null.
+    """
     sized = sizes(docs, key=key, source=source, text=text)
     parts = _taken(sized, block=block, shard_blocks=shard_blocks, seed=seed, **shares)
-    each = parts.groupBy("number", "bucket", "place", "key", "size", "source_size", "target").agg(
-        F.coalesce(F.sum("got"), F.lit(0)).alias("taken")
+    shard = F.when(F.col("got") > 0, F.col("shard"))
+    each = parts.groupBy("number", "key", "size", "nth", "source_size", "target").agg(
+        F.sum("got").alias("taken"), F.min(shard).alias("first_shard"), F.max(shard).alias("last_shard")
     )
-    return each.select(F.col("key").alias(key), "size", "source_size", "target", "taken")
+    return each.select(F.col("key").alias(key), "size", "source_size", "target", "taken", "first_shard", "last_shard")
+
+
+def mixed_parts(
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    block: int = BLOCK,
+    shard_blocks: int = SHARD_BLOCKS,
+    seed: int = 0,
+    **shares,
+) -> DataFrame:
+    """The mix as it is dealt to output shards: a row per part of a document that a slot holds.
+
+    ``shard``, ``place`` and ``at`` order the parts of a shard (``at``: where the part stands in its
+    block); ``key``, ``source``, ``size`` and ``nth`` (of rows alike in these, from 0) name the
+    document, ``first_word`` and ``n_words`` the part, ``pass`` the pass over the source.
+    """
+    sized = sizes(docs, key=key, source=source, text=text)
+    parts = _taken(sized, block=block, shard_blocks=shard_blocks, seed=seed, **shares).where("got > 0")
+    return parts.select(
+        "shard", "place", F.col("from").alias("at"), F.col("key").alias(key), F.col("source").alias(source), "size", "nth",
+        F.col("in_document").alias("first_word"), F.col("got").alias("n_words"), "pass",
+    )
 
 
 def mixed_documents(
@@ -198,24 +270,25 @@ def mixed_documents(
     sized = sizes(docs, key=key, source=source, text=text)
     parts = _taken(sized, block=block, shard_blocks=shard_blocks, seed=seed, **shares).where("got > 0")
     piece = F.struct(F.col("in_document").alias("at"), F.col("got").alias("n"))
-    # no more pieces than a document has blocks
-    each = parts.groupBy("key", "source", "size", "number", "start", "pass").agg(
+    # no more pieces than a document has blocks, and no more turns than passes
+    each = parts.groupBy("key", "source", "size", "nth", "pass").agg(
         F.sum("got").alias("got"), F.sort_array(F.collect_list(piece)).alias("pieces")
     )
-    # rows alike in id, source and size stand together
-    turns = each.groupBy("key", "source", "size").agg(F.collect_list(F.struct("start", "pass", "got", "pieces")).alias("__turns"))
-    turns = turns.select(F.col("key").alias("__key"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__turns")
-    size, place, turn = free_name(docs, "size_"), free_name(docs, "place_"), free_name(docs, "turn_")
+    turns = each.groupBy("key", "source", "size", "nth").agg(F.collect_list(F.struct("pass", "got", "pieces")).alias("__turns"))
+    turns = turns.select(*[F.col(c).alias(f"__{c}") for c in ("key", "source", "size", "nth")], "__turns")
+    size, nth, turn = free_name(docs, "size_"), free_name(docs, "nth_"), free_name(docs, "turn_")
     body = text_of(text)
     known = docs.withColumn(size, F.size(words(body)).cast("bigint"))
-    met = known.join(
+    # rows alike in id, source and size are told apart by their number
+    alike = Window.partitionBy(col(key), col(source), col(size)).orderBy(*[col(c).asc_nulls_first() for c in docs.columns])
+    met = known.withColumn(nth, (F.row_number().over(alike) - 1).cast("bigint")).join(
         turns,
-        col(key).eqNullSafe(F.col("__key")) & col(source).eqNullSafe(F.col("__source")) & (col(size) == F.col("__size")),
+        col(key).eqNullSafe(F.col("__key"))
+        & col(source).eqNullSafe(F.col("__source"))
+        & (col(size) == F.col("__size"))
+        & (col(nth) == F.col("__nth")),
     )
-    alike = Window.partitionBy("__key", "__source", "__size").orderBy(*[col(c).asc_nulls_first() for c in docs.columns])
-    starts = F.array_sort(F.array_distinct(F.col("__turns.start")))
-    mine = met.withColumn(place, F.row_number().over(alike))
-    own = mine.withColumn(turn, F.explode(F.filter("__turns", lambda t: t["start"] == F.get(starts, col(place) - 1))))
+    own = met.withColumn(turn, F.explode("__turns"))
     some = F.array_join(
         F.flatten(F.transform(col(turn)["pieces"], lambda p: F.slice(words(body), (p["at"] + 1).cast("int"), p["n"].cast("int")))), " "
     )
