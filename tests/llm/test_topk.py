@@ -1,24 +1,24 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm import topk
+from tidewell.llm import queries, topk
 
 
 def brute(rows, step, k=5):
-    vectors = {}
+    vectors = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        made = [math.floor(256 * x) for x in v]
-        vectors[i] = min(vectors.get(i, made), made)
+        vectors.append((i, [math.floor(256 * x) for x in v]))
     out = []
-    for q in vectors:
-        if q % step == 0:
-            scores = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=False)), i) for i, v in vectors.items() if i != q)
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    for q in {i for i, _ in vectors if i % step == 0}:
+        asking = [v for i, v in vectors if i == q]
+        scores = sorted((-sum(a * b for a, b in zip(w, v, strict=False)), i) for w in asking for i, v in vectors if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -52,6 +52,54 @@ def test_bounds_never_lose_a_vector():
             assert ids.tolist() == want.tolist() and scores.tolist() == score[want].tolist()
 
 
+@pytest.mark.parametrize("spectrum", ["flat", "falling", "zeros"])
+def test_lists_are_read_in_part(spectrum):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 32)) * 256
+    if spectrum == "falling":
+        x /= np.arange(1, 33) ** 1.5
+    if spectrum == "zeros":
+        x[:, 8:] = 0
+    matrix = np.floor(x).astype(np.int64)
+    lists = topk.Lists(np.arange(3000), matrix)
+    parts = []
+    for i in range(0, 3000, 150):
+        lists.read = lists.resolved = 0
+        ids, scores = lists.best(i, matrix[i], 5)
+        score = matrix @ matrix[i]
+        score[i] = -(10**12)
+        want = np.lexsort((np.arange(3000), -score))[:5]
+        assert ids.tolist() == want.tolist() and scores.tolist() == score[want].tolist()
+        parts.append(lists.read / matrix.size)
+        assert lists.resolved <= topk.FEW or lists.read >= np.count_nonzero(matrix[i]) * 3000
+    assert max(parts) <= 1 and np.mean(parts) < {"flat": 0.95, "falling": 0.6, "zeros": 0.25}[spectrum]
+
+
+def test_great_numbers_lose_nothing():
+    rng = np.random.default_rng(10)
+    matrix = rng.integers(-(2**20), 2**20, (500, 24))
+    lists = topk.Lists(np.arange(500), matrix)
+    for i in range(0, 500, 50):
+        score = matrix @ matrix[i]
+        score[i] = -(2**62)
+        assert lists.best(i, matrix[i], 5)[1].tolist() == np.sort(score)[::-1][:5].tolist()
+
+
+def test_repeated_ids_as_in_the_sql(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(int(i), [float(c) for c in rng.integers(-3, 4, 6) / 256]) for i in rng.integers(0, 120, 400)]
+    rows += [(50, rows[0][1])] * 9 + [(7, rows[1][1])] * 9
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    made = topk.search(df, F.col("id") % 50 == 0, block=90, query_block=4)
+    got = sorted(tuple(r) for r in made.collect())
+    assert got == brute(rows, 50)
+    folder = str(tmp_path / "embeddings.parquet")
+    df.write.parquet(folder)
+    db = duckdb.connect()
+    db.sql(f"create view embeddings as select * from read_parquet('{folder}/*.parquet')")
+    assert got == sorted(db.sql(f"select query_id, rank, vec_id, score from ({queries.TOPK_SQL})").fetchall())
+
+
 def test_awkward_input(spark):
     rows = [
         (0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]),

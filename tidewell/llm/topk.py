@@ -1,18 +1,22 @@
 """Exact top-k inner products by reading sorted lists without random access.
 
-Vectors are packed into blocks of bounded size, by a hash of their id; queries likewise. Every
+Vectors are packed into blocks of bounded size, by a hash of id and vector; queries likewise. Every
 block of queries meets every block of vectors by its number. There each component is a list of
-the block's vectors, sorted by what they can add to the score (from the other end where the
-query's component is negative). All lists are read downwards together. A vector's score lies
-between what it was seen to add plus the least each unread list holds, and the same plus what the
-unread lists offer next. A vector whose upper bound is under the k-th lower bound cannot qualify;
-once few are left, their scores are resolved, and the block's best k go on. The best of all blocks
-are exact: bounds are whole numbers, and ties are kept until they are resolved by id.
+the block's vectors, sorted by what they can add to the score (read from the other end where the
+query's component is negative). All lists are read downwards together, a batch of entries at a
+time. Each entry read raises its vector's lower bound, which takes the least value of each list
+not read so far for the vector. Outsiders, the vectors not met in any list, cannot score more than
+the entries last read add up to; once that is under the k-th lower bound, or all vectors were met,
+they are out. From then on those met are kept only while their upper bound, the lower bound with
+the entries last read in place of the least, reaches the k-th lower bound. Reading stops when few
+are left; their scores are resolved, and the block's best k go on. The best of all blocks are
+exact: bounds are whole numbers, and ties are kept until they are resolved by id.
 
 Defined results: vectors that are null, hold a null or non-finite component, or have no id take
-no part; shorter vectors count as zero beyond their end; of rows with one id the least vector (in
-array order) stands for the id; with fewer candidates than k all are returned; an empty table
-gives no rows. Scores are 64-bit integers: components up to 2**20 are safe.
+no part; shorter vectors count as zero beyond their end; every row is a candidate of the queries
+of other ids, also where ids repeat, and rows of one id that ask share one answer, the best k of
+all their scores; with fewer candidates than k all are returned; an empty table gives no rows.
+Scores are 64-bit integers: components up to 2**20 are safe.
 """
 
 from __future__ import annotations
@@ -28,19 +32,22 @@ from .base import col, settle
 
 #: Vectors and queries in a block.
 BLOCK, QUERY_BLOCK = 4096, 512
-#: Parts of the lists after which bounds are compared: lower bounds rise late, so bounds are first
-#: compared late unless a score to reach is known. Candidates few enough to be resolved.
-DEPTHS, DEPTHS_WITH_BAR = (0.7, 0.8, 0.9), (0.5, 0.6, 0.7, 0.8, 0.9)
+#: Batches in which lists are read to their end. Candidates few enough to be resolved.
+BATCHES = 8
 FEW = 64
 
 
-def integers(vectors: DataFrame, *, key: str, vector: str, scale: int) -> DataFrame:
-    """``id`` and ``v`` (floor of ``scale`` times each component) of the vectors that take part."""
+def integers(vectors: DataFrame, *, key: str, vector: str, scale: int, k: int) -> DataFrame:
+    """``id`` and ``v`` (floor of ``scale`` times each component) of the vectors that take part.
+
+    Of rows alike ``k`` are kept: more can't show among the best ``k``, as candidates or as queries.
+    """
     x = col(vector).cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     good = vectors.where(col(key).isNotNull() & col(vector).isNotNull() & ~bad)
     made = good.select(col(key).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v"))
-    return made.groupBy("id").agg(F.min("v").alias("v"))
+    alike = made.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    return alike.select("id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("nth")).drop("nth")
 
 
 def _packed(rows: DataFrame, blocks: Column, width: int, name: str) -> DataFrame:
@@ -60,50 +67,77 @@ def _packed(rows: DataFrame, blocks: Column, width: int, name: str) -> DataFrame
             }
         )
 
-    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id", "v"), blocks).cast("int"))
     return dealt.groupBy(name).applyInArrow(pack, f"{name} int, {name}_ids binary, {name}_matrix binary")
 
 
 class Lists:
-    """The sorted lists of one block, kept as each vector's place in each list."""
+    """The sorted lists of one block: vectors and values by place, and each vector's place by list.
+
+    ``read`` counts the entries read so far, ``resolved`` the vectors whose scores were resolved.
+    """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
-        n = len(ids)
+        n, width = matrix.shape
         self.ids, self.matrix = ids, matrix
-        # sums of whole numbers are exact in either kind as long as they fit its mantissa
-        most = matrix.shape[1] * float(np.abs(matrix).max(initial=0)) ** 2
-        self.exact = matrix.astype(np.float32 if 2 * most < 2**24 else np.float64)
         order = np.argsort(-matrix, axis=0, kind="stable")  # by component, greatest first
-        self.values = np.take_along_axis(matrix, order, axis=0)
+        self.values = np.ascontiguousarray(np.take_along_axis(matrix, order, axis=0).T.astype(np.float64))
+        # how far each entry is from the last one of its list, read from either end
+        self.above, self.below = self.values - self.values[:, -1:], self.values - self.values[:, :1]
+        self.order = np.ascontiguousarray(order.T)
         self.place = np.empty(matrix.shape, np.int16 if n < 2**15 else np.int32)
         np.put_along_axis(self.place, order, np.arange(n, dtype=self.place.dtype)[:, None], axis=0)
+        self.read = self.resolved = 0
 
     def best(self, own: int, query: np.ndarray, k: int, bar: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best but for the query's own; greatest first, ties by id.
+        """Ids and scores of the ``k`` best but for the query's own id; greatest first, ties by id.
 
         ``bar`` is a score that ``k`` vectors elsewhere reach; what stays under it may be left out.
         """
         n = len(self.ids)
-        down = query >= 0  # a negative weight reads its list from the other end
-        weight = query.astype(self.exact.dtype if np.abs(query).max(initial=0) <= np.abs(self.matrix).max(initial=0) else np.float64)
         alive = np.flatnonzero(self.ids != own)
-        place, value = self.place[alive], self.exact[alive]
-        for depth in DEPTHS if bar is None else DEPTHS_WITH_BAR:
-            read = int(np.ceil(n * depth))
-            if len(alive) <= max(FEW, k) or read >= n:
-                break
-            unread = np.where(down, place >= read, place < n - read)
-            seen = np.where(unread, weight.dtype.type(0), value) @ weight
-            # what the lists hold next, and last
-            ahead = weight * np.where(down, self.values[read], self.values[n - 1 - read]).astype(weight.dtype)
-            least = weight * np.where(down, self.values[-1], self.values[0]).astype(weight.dtype)
-            offers = unread.astype(weight.dtype) @ np.stack([ahead, least], axis=1)
-            lower = seen + offers[:, 1]
-            reached = np.partition(lower, len(lower) - k)[len(lower) - k]
-            stay = seen + offers[:, 0] >= (reached if bar is None else max(reached, bar))
-            if not stay.all():
-                alive, place, value = alive[stay], place[stay], value[stay]
+        down, up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)  # a negative weight reads its list from the other end
+        weight = query.astype(np.float64)
+        # sums beyond what a double holds exactly are given their rounding error
+        most = float(np.abs(query).max(initial=0)) * float(np.abs(self.matrix).max(initial=0)) * max(1, len(query))
+        slack = 0.0 if 4 * most < 2**53 else most * len(query) * 2.0**-50
+        kind = np.float32 if 4 * most < 2**24 else np.float64
+        least = np.where(query > 0, self.values[:, -1], self.values[:, 0]) if n else weight
+        lower = np.full(n, weight @ least)
+        met, all_met, outsiders = np.zeros(n, bool), False, True
+        at, batch, test, wait = 0, 0, 1, 1
+        step = max(1, -(-n // BATCHES))
+        while len(alive) > max(FEW, k) and at < n and len(down) + len(up):
+            stop = min(n, at + step)
+            for lists, far, start, end in ((down, self.above, at, stop), (up, self.below, n - stop, n - at)):
+                if len(lists):
+                    vectors = self.order[lists, start:end].ravel()
+                    lower += np.bincount(vectors, (far[lists, start:end] * weight[lists, None]).ravel(), n)
+                    if not all_met:
+                        met[vectors] = True
+                    self.read += len(vectors)
+            at, batch, all_met = stop, batch + 1, all_met or bool(met.all())
+            if batch < test and at < n:
+                continue
+            last = np.where(query > 0, self.values[:, at - 1], self.values[:, n - at])
+            known = lower[alive]
+            reached = np.partition(known, len(known) - k)[len(known) - k] - slack
+            reached = reached if bar is None else max(reached, bar)
+            if outsiders and not all_met and weight @ last + slack >= reached:
+                continue  # a vector not met yet might be among the best
+            if outsiders:
+                outsiders, alive = False, alive[met[alive]]
+                known = lower[alive]
+            # unread are the places from ``at`` on, or, read from the other end, those before ``n - at``
+            place = self.place[alive] if len(alive) < n - 1 else self.place
+            unread = (place >= np.where(query < 0, 0, at).astype(place.dtype)) & (place < np.where(query < 0, n - at, n).astype(place.dtype))
+            ahead = unread.astype(kind) @ (weight * (last - least)).astype(kind)
+            stay = known + (ahead if place is not self.place else ahead[alive]) + slack >= reached
+            # a test that drops nothing makes the next ones rarer
+            wait = 1 if not stay.all() else 2 * wait
+            test, alive = batch + wait, alive[stay]
         score = self.matrix[alive] @ query
+        self.resolved += len(alive)
         top = np.lexsort((self.ids[alive], -score))[:k]
         return self.ids[alive][top], score[top]
 
@@ -120,7 +154,7 @@ def search(
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the ``k`` best for each id that ``queries`` (of ``id``) names."""
-    rows = settle(integers(vectors, key=key, vector=vector, scale=scale))
+    rows = settle(integers(vectors, key=key, vector=vector, scale=scale, k=k))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(queries).alias("q"), F.max(F.size("v")).alias("w")).first()
     width, n_blocks = size["w"] or 0, max(1, -(-size["n"] // block))
     index = _packed(rows, F.lit(n_blocks), width, "block")
