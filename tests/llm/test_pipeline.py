@@ -12,7 +12,7 @@ NATIVE = ("op1_quality_rules", "op7_chat_windows", "op9_source_mix", "op10_licen
 
 def test_registered():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names
     assert set(queries.SQL) <= set(queries.QUERIES)
 
