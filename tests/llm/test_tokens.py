@@ -104,6 +104,36 @@ def test_pieces_are_the_library_s():
         assert coder.decode(some) == coder.library.decode(some.tolist())
 
 
+def test_long_units_are_merged_in_rounds():
+    """Texts without a blank take the same path as others, in far fewer rounds than they have characters."""
+    rng = random.Random(7)
+    coder = pieces.PieceCoder(PIECES)
+    common = [chr(c) for c in range(0x4E00, 0x9FA5) if coder.of_point[c] >= 0]
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(5000))
+    parts = ["an", "na", "ing", "in", "ation", "the", "he", "th"]
+    texts = {
+        letters: 1000,
+        "a" * 200_000: 50,
+        "ab" * 20_000: 50,
+        "".join(rng.choice(parts) for _ in range(50_000)): 200,
+        "".join(rng.choice(common) for _ in range(50_000)): 50,
+        "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(5000)): 50,
+        "%064x" % rng.getrandbits(256) * 500: 100,
+        "-=" * 5000 + "=" * 5000 + "é日" * 500: 50,
+    }
+    for text, most in texts.items():
+        ids, sizes = coder.encode(pa.array([text]))
+        assert ids.tolist() == coder.library.encode(text)
+        assert sizes.tolist() == [len(ids)]
+        assert coder.rounds_run <= most
+    ids, _ = coder.encode(pa.array(list(texts)))  # met before, side by side
+    assert ids.tolist() == [i for t in texts for i in coder.library.encode(t)]
+    alphabets = ["ab", "etaoin", "ing", "abcdefghijklmnopqrstuvwxyz", "日本語的是", "ABCabc123", "аеионтс", "- =*"]
+    mixed = ["".join(rng.choice(a) for _ in range(rng.randrange(1, 400))) for a in alphabets for _ in range(60)]
+    ids, sizes = coder.encode(pa.array(mixed))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == coder.library.encode(mixed)
+
+
 def test_a_small_memory_changes_nothing():
     coder = pieces.PieceCoder(PIECES)
     coder.memory.bound = 3

@@ -2,11 +2,12 @@
 
 A text becomes the library's normalised form (blanks shown as U+2581, one in front) and is cut
 before each run of blanks, where no piece of the model can merge. Units a worker has not met are
-coded together: flat numpy arrays hold the symbols of all of them; a round finds each unit's
-least pair rank, merges its leftmost pair of that rank in all units at once, and compacts the
-arrays; units without a pair leave. Ranks order pieces by score, as the library's queue does,
-so merge order and result are the library's. A very long unit (no blank for hundreds of
-characters) is merged from a heap instead, in the same order.
+cut once more between characters that stand together in no piece, and coded together: flat numpy
+arrays hold the symbols of all parts; a round finds each part's least pair rank, merges its pairs
+of that rank from the left in all parts at once, and compacts the arrays; parts without a pair leave.
+Ranks order pieces by score, as the library's queue does. The library takes one pair at a time, so
+the merges of a part in one round end with the first that makes a new pair of no greater rank,
+which the library would take next: merge order and result are the library's at every length.
 
 Models of another build (not BPE, an own normaliser, user-defined pieces, or pieces with a blank
 after another character) are coded by the library.
@@ -18,7 +19,6 @@ repeated rows and null ids are coded row by row.
 from __future__ import annotations
 
 import functools
-import heapq
 import re
 from collections.abc import Iterator
 
@@ -34,8 +34,6 @@ from .units import Cut, Memory, chunks, per_text, strings
 
 BLANK = "▁"
 MARK = "\x01"
-#: Symbols in a unit from which on it is merged from a heap.
-LONG = 256
 NONE = np.iinfo(np.int32).max
 
 
@@ -67,6 +65,8 @@ class PieceCoder:
         self.pairs = pairs
         self.base = len(self.pieces) + len(self.symbol) + 1
         self._build_table()
+        beside = {(self.symbol[a], self.symbol[b]) for i in normal for a, b in zip(self.pieces[i], self.pieces[i][1:])}
+        self.beside = np.unique(np.array([a * self.base + b for a, b in beside], np.int64))
         points = np.array([(ord(c), i) for c, i in self.symbol.items() if len(c) == 1], np.int64).reshape(-1, 2)
         self.of_point = np.full(0x110000, -1, np.int32)
         self.of_point[points[:, 0]] = points[:, 1]
@@ -129,18 +129,15 @@ class PieceCoder:
 
     def _code_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units end to end, and how many each has."""
-        long = {i: self._heap(u) for i, u in enumerate(units) if len(u) > LONG}
-        flat, sizes = self._rounds([u if len(u) <= LONG else "" for u in units])
+        flat, sizes = self._rounds(units, every=True)
         odd = (flat < 0) | (flat >= len(self.pieces))
-        rare = set(np.repeat(np.arange(len(units)), sizes)[odd].tolist())
-        if not long and not rare:
-            return flat, sizes
+        rare = np.unique(np.repeat(np.arange(len(units)), sizes)[odd]).tolist()
         ends = np.cumsum(sizes)
         parts, before = [], 0
-        for i in sorted(rare | long.keys()):
+        for i in rare:
             stop = int(ends[i])
             start = stop - int(sizes[i])
-            made = self._with_bytes(long.get(i, flat[start:stop]), units[i])
+            made = self._with_bytes(flat[start:stop], units[i])
             parts += [flat[before:start], made]
             sizes[i], before = len(made), stop
         return np.concatenate([*parts, flat[before:]]), sizes
@@ -157,13 +154,23 @@ class PieceCoder:
                 at += 1
         return np.array(ids, np.int32)
 
-    def _rounds(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Merged symbols of all units end to end, and how many each has."""
+    def _rounds(self, units: list[str], *, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Merged symbols of all units end to end, and how many each has.
+
+        A round merges the leftmost pair of least rank of each unit; with ``every`` all such
+        pairs, in each part of a unit by itself.
+        """
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         symbols = self.of_point[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         unit = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+        owner = np.arange(len(units), dtype=np.int32)
+        if every and len(symbols):
+            starts = self._apart(symbols) | (np.diff(unit, prepend=-1) > 0)
+            owner = unit[starts]
+            unit = np.cumsum(starts, dtype=np.int32) - 1
         done_unit, done_symbols = [unit[:0]], [symbols[:0]]
         rank, made = self._ranks_at(symbols, unit, np.arange(len(symbols)))
+        self.rounds_run = 0
         while len(symbols):
             starts = np.flatnonzero(np.diff(unit, prepend=-1))
             size = np.diff(starts, append=len(symbols))
@@ -175,17 +182,56 @@ class PieceCoder:
             hit = np.flatnonzero((rank == least) & stay)
             if not len(hit):
                 break
-            first = hit[np.flatnonzero(np.diff(unit[hit], prepend=-1))]  # leftmost in each unit
-            symbols[first] = made[first]
-            stay[first + 1] = False
-            at = (np.cumsum(stay) - 1)[first]  # where the merged symbols lie after compaction
+            self.rounds_run += 1
+            if every:
+                hit = self._mergeable(hit, symbols, unit, rank, made)
+            else:
+                hit = hit[np.flatnonzero(np.diff(unit[hit], prepend=-1))]  # leftmost in each unit
+            symbols[hit] = made[hit]
+            stay[hit + 1] = False
+            at = (np.cumsum(stay) - 1)[hit]  # where the merged symbols lie after compaction
             symbols, unit, rank, made = symbols[stay], unit[stay], rank[stay], made[stay]
             before = at[at > 0] - 1
             around = np.concatenate([at, before[unit[before] == unit[before + 1]]])
             rank[around], made[around] = self._ranks_at(symbols, unit, around)
-        owner, flat = np.concatenate(done_unit), np.concatenate(done_symbols)
-        order = np.argsort(owner, kind="stable")
-        return flat[order], np.bincount(owner, minlength=len(units))
+        part, flat = np.concatenate(done_unit), np.concatenate(done_symbols)
+        order = np.argsort(part, kind="stable")
+        return flat[order], np.bincount(owner[part], minlength=len(units))
+
+    def _apart(self, symbols: np.ndarray) -> np.ndarray:
+        """Where a character follows one that stands before it in no piece; no merge reaches over such a place."""
+        left, right = symbols[:-1].astype(np.int64), symbols[1:]
+        key = np.where((left < 0) | (right < 0), np.int64(-1), left * self.base + right)
+        at = np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)
+        return np.concatenate([[True], self.beside[at] != key])
+
+    def _mergeable(self, hit, symbols, unit, rank, made) -> np.ndarray:
+        """The pairs, of those of least rank, that are next in order one after the other.
+
+        From the left, pairs that share a symbol with the one before fall out. A merge that makes
+        a pair of no greater rank with a neighbour, as the neighbours are at that time, is a
+        part's last in this round.
+        """
+        new_run = np.diff(hit, prepend=-2) > 1
+        new_run[1:] |= unit[hit[1:]] != unit[hit[:-1]]
+        run_start = hit[np.maximum.accumulate(np.where(new_run, np.arange(len(hit)), 0))]
+        hit = hit[(hit - run_start) % 2 == 0]
+        head = np.diff(unit[hit], prepend=-1) > 0
+        if head.all():
+            return hit
+        last = len(symbols) - 1
+        product, limit, own = made[hit], rank[hit], unit[hit]
+        right = np.minimum(hit + 2, last)
+        after = self.find(product, symbols[right])[0]
+        low = (hit + 2 <= last) & (unit[right] == own) & (after <= limit)
+        left = np.maximum(hit - 1, 0)
+        neighbour = symbols[left]
+        joined = np.flatnonzero((np.diff(hit, prepend=-3) == 2) & ~head)
+        neighbour[joined] = product[joined - 1]
+        before = self.find(neighbour, product)[0]
+        low |= (hit > 0) & (unit[left] == own) & (before <= limit)
+        earlier = np.cumsum(low) - low
+        return hit[earlier == earlier[np.maximum.accumulate(np.where(head, np.arange(len(hit)), 0))]]
 
     def _ranks_at(self, symbols: np.ndarray, unit: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and product of each symbol at ``at`` with its right neighbour in the unit."""
@@ -193,33 +239,6 @@ class PieceCoder:
         rank, made = self.find(symbols[at], symbols[following])
         return np.where((following > at) & (unit[following] == unit[at]), rank, NONE), made
 
-    def _heap(self, unit: str) -> np.ndarray:
-        """The merges of one long unit, least rank and leftmost first."""
-        symbols: list = [int(self.of_point[ord(c)]) for c in unit]
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < n and (found := self.pairs.get((symbols[i], symbols[j]))):
-                heapq.heappush(heap, (found[0], i, symbols[i], symbols[j], found[1]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, left, right, product = heapq.heappop(heap)
-            if symbols[i] != left or (j := after[i]) >= n or symbols[j] != right:  # out of date
-                continue
-            symbols[i], symbols[j] = product, None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
-        return np.array([s for s in symbols if s is not None], np.int32)
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
         if not self.plain:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import col
-from .pieces import LONG, PieceCoder
+from .pieces import PieceCoder
 from .units import Cut, Memory, chunks, per_text, strings
 
 MAGIC = b"TWB1"
@@ -81,6 +81,8 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 # ---------------------------------------------------------------------------------------------
 # tokenizing
 
+#: Characters in a word from which on the library codes it.
+LONG = 256
 #: Words with other characters than these are cut and cased by the library.
 UNPROVEN = r"^$|[^!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
 
