@@ -154,7 +154,8 @@ def agent_campaign(
     """Campaign agents with their customers' activations by month, quarter, promotion and ever.
 
     ``agents`` from ``campaign_agents``, ``customers`` from :func:`app_customers`. A customer
-    with several app keys is several rows there; distinct counts take them once.
+    with several app keys is several rows there; distinct counts take them once. Both need the
+    agents, who are few and come from many tables: ``settle`` them first.
     """
     report = F.lit(month_end(as_of, -1))
     on = F.col("user_info") == "Activated"

@@ -12,6 +12,7 @@ from ..functions.conditions import any_not_null, null_when, yn
 from ..functions.dates import DateLike, day
 from ..functions.text import fold, last_chars, keep_alnum, like_any, normalize_phone
 from ..operators.joins import interval_join
+from ..operators.lineage import settle
 
 LEAD_SOURCE = (
     "id", "createddate", "lastname", "phone", "email", "state", "leadsource", "description",
@@ -118,7 +119,8 @@ def attribute_leads(
     Leads and sales meet on ids and dates alone, each route over its own interval, and only
     sales of owners with a lead's phone or address take part. What is shown of a sale joins the
     pairs afterwards, so a phone number that many clients and leads share multiplies narrow
-    rows only.
+    rows only. What the leads ask for (one row per lead and key) and the pairs, both ids and
+    dates, are read several times and settled, which runs two jobs.
     """
     require(clients, "clients", "cli_num", "cli_nm", *PHONES)
     sale_cols = [*SALE_TEXT, *SALE_AMOUNTS]
@@ -132,7 +134,7 @@ def attribute_leads(
         )
     )
     duplicate = F.coalesce(F.lower(F.trim("status")).contains("duplicate"), F.lit(False))
-    asked = (
+    asked = settle(
         leads.select("id", "createddate", duplicate.alias("duplicate"), F.explode(lead_keys).alias("e"))
         .select("id", "createddate", "duplicate", "e.route", "e.key")
         .distinct()
@@ -158,6 +160,7 @@ def attribute_leads(
         )
         found = met.select("id", "duplicate", "route", "key", *[F.col(f"s_{c}").alias(c) for c in sale_key])
         pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = settle(pairs)
     met_sales = sales.join(pairs.select(*sale_key).distinct(), sale_key, "left_semi")
     people = clients.select(F.col("cli_num").alias("po_num"), "cli_nm", normalize_phone("mobl_phon_num").alias("mobile"))
     addresses = contacts.select(F.col("cli_num").alias("po_num"), "email_addr")
