@@ -1,8 +1,9 @@
+import math
 import zlib
 
 import numpy as np
 
-from tests.llm.helpers import no_documents, odd_documents, small
+from tests.llm.helpers import no_documents, odd_documents, small, words
 from tidewell.llm import discriminant as D
 from tidewell.llm import queries
 
@@ -18,6 +19,63 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def plain_statistics(text):
+    """The statistics of one text, counted in plain Python."""
+    text = text or ""
+    w = words(text)
+    n, chars = len(w), sum(map(len, w))
+
+    def angle(part, whole, prior):
+        return math.asin(math.sqrt(min(part / (whole + prior), 1.0)))
+
+    def share(wanted):
+        return angle(sum(wanted(c) for c in text), chars, 5 * D.PRIOR)
+
+    return [
+        math.log(1 + n),
+        math.log(1 + chars / n) if n else 0.0,
+        share(lambda c: c in "#*$%&|<>"),
+        share(lambda c: "A" <= c <= "Z"),
+        share(lambda c: c in "!?"),
+        angle(len(set(w)) + D.PRIOR, n, D.PRIOR),
+        angle(sum(a == b for a, b in zip(w, w[1:])), n, D.PRIOR),
+        share(lambda c: "0" <= c <= "9"),
+    ]
+
+
+def test_statistics_are_those_of_plain_python(spark):
+    docs = odd_documents(spark).select("doc_id", "text").unionByName(small(spark, "documents", "doc_id", "text"))
+    for r in docs.select("text", D.statistics(D.text_of("text")).alias("x")).collect():
+        assert np.allclose(r.x, plain_statistics(r.text), rtol=0, atol=1e-12), r.text
+
+
+def test_fit_is_that_of_numpy(spark):
+    """Moments centred before multiplying, shrinkage and factors; the order of the rows changes nothing."""
+    docs, labels = small(spark, "documents", "doc_id", "text"), small(spark, "labels", "doc_id", "quality")
+    mark = {}
+    for r in labels.where("quality is not null and doc_id is not null").collect():
+        mark[r.doc_id] = min(mark.get(r.doc_id, 1), r.quality)
+    rows = [(mark[r.doc_id], plain_statistics(r.text)) for r in docs.collect() if r.doc_id in mark]
+    sides = [np.array([x for m, x in rows if m == k]) for k in (0, 1)]
+    assert min(map(len, sides)) > 10
+    pooling, shrinkage, n = 0.2, 0.05, len(rows)
+    means = [x.mean(0) for x in sides]
+    own = [(x - m).T @ (x - m) for x, m in zip(sides, means, strict=True)]
+    pooled = sum(own) / n
+    spread = np.diag(np.maximum(np.diag(pooled), 1e-6))
+    model = D.fit(docs, labels, pooling=pooling, shrinkage=shrinkage)
+    turned = D.fit(docs.orderBy("text").repartition(7), labels, pooling=pooling, shrinkage=shrinkage)
+    for k in (0, 1):
+        mixed = (1 - pooling) * own[k] / len(sides[k]) + pooling * pooled
+        covariance = (1 - shrinkage) * mixed + shrinkage * spread
+        assert np.allclose(model.means[k], means[k], atol=1e-9)
+        assert np.allclose(model.factors[k] @ covariance @ model.factors[k].T, np.eye(len(spread)), atol=1e-6)
+        assert np.allclose(model.factors[k], np.tril(model.factors[k]))
+        offset = math.log(len(sides[k]) / n) - np.linalg.slogdet(covariance)[1] / 2
+        assert abs(model.offsets[k] - offset) < 1e-6
+    assert np.allclose(model.factors, turned.factors, rtol=1e-6) and np.allclose(model.offsets, turned.offsets, atol=1e-6)
+
+
 def test_score_is_the_difference_of_log_densities(spark):
     docs, labels = small(spark, "documents", "doc_id", "text"), small(spark, "labels", "doc_id", "quality")
     model = D.fit(docs, labels)
