@@ -156,10 +156,14 @@ def p20(t: Tables):
        """select pol_num, clm_id from (select p.pol_num, c.clm_id, row_number() over (partition by p.pol_num order by c.clm_id) as rn
   from e_policy p left join (select distinct pol_num, clm_id from e_pack_claim) c on p.pol_num = c.pol_num) where clm_id is null or rn = 1""")
 def p21(t: Tables):
-    claims = t.e_pack_claim.select("pol_num", "clm_id").distinct()
+    # No claim but a policy's least one can be picked, so the others go before the shuffle; a claim without a number stays a row.
+    claims = t.e_pack_claim.groupBy("pol_num").agg(
+        F.min("clm_id").alias("clm_id"), F.bool_or(F.col("clm_id").isNull()).alias("unnumbered")
+    )
     rows = t.e_policy.select("pol_num").join(claims, "pol_num", "left")
-    with_claim = first_by(rows.where(F.col("clm_id").isNotNull()), ["pol_num"], [F.col("clm_id")])
-    return rows.where(F.col("clm_id").isNull()).unionByName(with_claim)
+    with_claim = first_by(rows.where(F.col("clm_id").isNotNull()), ["pol_num"], [F.col("clm_id")]).drop("unnumbered")
+    without = rows.where(F.col("clm_id").isNull() | F.col("unnumbered"))
+    return without.select("pol_num", F.lit(None).cast(rows.schema["clm_id"].dataType).alias("clm_id")).unionByName(with_claim)
 
 
 @query("p22_named_steps", "agt_code:l n:l share:d",
