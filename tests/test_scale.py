@@ -40,3 +40,13 @@ def test_ranked_or_null_shuffles_one_claim_row_per_policy(spark):
     )
     keys = [line for line in ran(got) if "Aggregate(keys=" in line]
     assert keys and not any("clm_id" in line.split("functions=")[0] for line in keys)
+
+
+def test_bitmaps_are_no_larger_than_their_ids(spark):
+    rows = spark.range(2000).select((F.col("id") % 500).alias("k"), (F.col("id") * 97 - 90_000).alias("item"))
+    state = O.distinct_state(rows, ["k"], "item")
+    assert state.count() <= 2000 and state.schema["bits"].dataType.simpleString() == "bigint"
+    edges = [-65, -64, -1, 0, 0, 63, 64, 2**63 - 1, -(2**63), None]
+    both = O.distinct_state(spark.createDataFrame([("a", i) for i in edges], "k string, item bigint"), ["k"], "item")
+    assert O.distinct_count(both, []).first().n == len(set(edges) - {None})
+    assert [tuple(r) for r in O.distinct_count(O.merge_states(both, both), ["k"]).collect()] == [("a", 8)]

@@ -1,7 +1,8 @@
 """Exact distinct counts that roll up, from bitmaps kept for each combination of dimensions.
 
 Distinct counts can't be added; bitmaps of the ids can be united. A state holds, for each
-combination of dimensions and each range of 32,768 ids, one bitmap of 4 KB. It is built once, stored, brought up to
+combination of dimensions and each range of 64 ids that has one, a bitmap of 8 bytes, so it has no more rows than
+there are ids by combination, however few of them each combination has. It is built once, stored, brought up to
 date by uniting it with the state of new rows, and counted for any subset of its dimensions.
 """
 
@@ -27,14 +28,13 @@ def distinct_state(df: DataFrame, dims: Sequence[str], item: str) -> DataFrame:
         raise TypeError(f"{item} is {df.schema[item].dataType.simpleString()}; bitmaps count whole numbers")
     ids = F.col(item).cast("bigint")
     rows = df.where(F.col(item).isNotNull())
-    return rows.groupBy(*dims, F.bitmap_bucket_number(ids).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(ids)).alias("bits")
-    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), ids.bitwiseAND(63).cast("int"))
+    return rows.groupBy(*dims, F.shiftright(ids, 6).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
 
 
 def roll_up(state: DataFrame, dims: Sequence[str]) -> DataFrame:
     """The state for fewer dimensions."""
-    return state.groupBy(*dims, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return state.groupBy(*dims, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
@@ -48,5 +48,5 @@ def merge_states(*states: DataFrame) -> DataFrame:
 
 def distinct_count(state: DataFrame, dims: Sequence[str], out: str = "n") -> DataFrame:
     """Distinct ids by ``dims``, or of all rows (one row, 0 for an empty state) without any."""
-    counted = roll_up(state, dims).withColumn("__n", F.bitmap_count("bits"))
+    counted = roll_up(state, dims).withColumn("__n", F.bit_count("bits"))
     return counted.groupBy(*dims).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias(out))
