@@ -50,3 +50,28 @@ def test_bitmaps_are_no_larger_than_their_ids(spark):
     both = O.distinct_state(spark.createDataFrame([("a", i) for i in edges], "k string, item bigint"), ["k"], "item")
     assert O.distinct_count(both, []).first().n == len(set(edges) - {None})
     assert [tuple(r) for r in O.distinct_count(O.merge_states(both, both), ["k"]).collect()] == [("a", 8)]
+
+
+def test_balance_is_shuffled_by_policy_only(spark, no_broadcast):
+    """After the ledgers are netted, terms are joined and balances summed where a policy's rows lie."""
+    lines = ran(REGISTRY["d04_balance_on_buckets"].run(spark, SMALL))
+    exchanges = [line for line in lines if "Exchange hashpartitioning" in line]
+    assert len(exchanges) <= 2 and not any("plan_code" in line for line in exchanges)
+
+
+def test_stored_tables_have_buckets_for_their_rows_and_the_session(spark, no_broadcast, monkeypatch):
+    t = Tables(spark, SMALL)
+    rows = t.e_coverage.count()
+    monkeypatch.setattr(core_storage, "BUCKET_ROWS", rows // 30)
+    assert core_storage.bucket_count(t) >= 30
+    monkeypatch.undo()
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        assert core_storage.bucket_count(t) == 24
+        lines = ran(REGISTRY["d53_fact_on_buckets"].run(spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "cvg_prem" in line)
+    met = next(line for line in reversed(lines[:at]) if "Exchange" in line or "Join" in line)
+    assert "Join" in met, met

@@ -57,9 +57,10 @@ def account_balance(
         net.join(policies.select("pol_num", "vers_num_base", *POLICY_TERMS), "pol_num", "left")
         .join(
             base,
+            # The policy alone is the key: rows stay where the join before left them, the few coverages are compared there.
             (F.col("pol_num") == F.col("cvg_pol"))
-            & (F.col("plan_code_base") == F.col("plan_code"))
-            & (F.col("vers_num_base") == F.col("vers_num")),
+            & F.col("plan_code_base").between(F.col("plan_code"), F.col("plan_code"))
+            & F.col("vers_num_base").between(F.col("vers_num"), F.col("vers_num")),
             "left",
         )
         .groupBy("acct_num", "pol_num", "extract_typ", *POLICY_TERMS, *COVERAGE_TERMS)
