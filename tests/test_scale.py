@@ -75,3 +75,11 @@ def test_stored_tables_have_buckets_for_their_rows_and_the_session(spark, no_bro
     at = next(i for i, line in enumerate(lines) if "FileScan" in line and "cvg_prem" in line)
     met = next(line for line in reversed(lines[:at]) if "Exchange" in line or "Join" in line)
     assert "Join" in met, met
+
+
+def test_lookup_of_the_greatest_value_sorts_nothing(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    ref = spark.createDataFrame([(1, 5), (1, 7), (1, None), (2, None), (None, 9)], "key int, v int")
+    got = O.lookup(df, ref, "k", "key", "v", "found", default=0)
+    assert {tuple(r) for r in got.collect()} == {(1, 7), (2, 0), (3, 0), (None, 0)}
+    assert not any("Window" in line for line in ran(got))

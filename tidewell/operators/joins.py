@@ -56,11 +56,11 @@ def lookup(
     Each key gives one value, so rows never multiply. Of several, the greatest under
     ``order`` (default: the value itself) is taken.
     """
-    single = latest_by(
-        ref.select(*{key, value}) if order is None else ref,
-        [key],
-        [F.col(value).desc()] if order is None else list(order),
-    ).select(F.col(key).alias("__key"), F.col(value).alias("__value"))
+    if order is None:
+        # An aggregate needs no sort and meets the keys before the shuffle.
+        single = ref.groupBy(F.col(key).alias("__key")).agg(F.max(value).alias("__value"))
+    else:
+        single = latest_by(ref, [key], list(order)).select(F.col(key).alias("__key"), F.col(value).alias("__value"))
     found = F.col("__value") if default is None else F.coalesce(F.col("__value"), F.lit(default))
     return (
         df.join(single, df[on] == single["__key"], "left")
