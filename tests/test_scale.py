@@ -83,3 +83,15 @@ def test_lookup_of_the_greatest_value_sorts_nothing(spark):
     got = O.lookup(df, ref, "k", "key", "v", "found", default=0)
     assert {tuple(r) for r in got.collect()} == {(1, 7), (2, 0), (3, 0), (None, 0)}
     assert not any("Window" in line for line in ran(got))
+
+
+def test_pack_works_shared_results_out_once(spark, monkeypatch):
+    counts = {}
+    for name in ("agent_kpis", "retention", "lapse_risks", "next_leads", "qualification", "agent_list"):
+        def counted(*args, _name=name, _real=getattr(plans, name), **more):
+            counts[_name] = counts.get(_name, 0) + 1
+            return _real(*args, **more)
+
+        monkeypatch.setattr(plans, name, counted)
+    REGISTRY["s14_pack_exports"].build(Tables(spark, SMALL))
+    assert counts == dict.fromkeys(counts, 1) and len(counts) == 6

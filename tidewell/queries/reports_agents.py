@@ -111,8 +111,21 @@ def stored_fact(t: Tables):
     return t._seen[STORED]
 
 
+SHARED = "results several outputs share"
+
+
+def shared(t: Tables, name: str, build):
+    """The result of ``build``; where the whole pack is made of these tables, settled the first time and kept."""
+    known = t._seen.get(SHARED)
+    if known is None:
+        return build()
+    if name not in known:
+        known[name] = settle(build())
+    return known[name]
+
+
 def agents(t: Tables):
-    return plans.agent_list(t.e_agent, t.e_programme, t.e_tier, REPORT_DATE)
+    return shared(t, "agents", lambda: plans.agent_list(t.e_agent, t.e_programme, t.e_tier, REPORT_DATE))
 
 
 AGENTS_SQL = f"""
@@ -165,7 +178,7 @@ KPI_COLUMNS = "agt_cd:l " + " ".join(
 
 
 def kpis(t: Tables, rows=None):
-    return plans.agent_kpis(fact(t) if rows is None else rows, agents(t))
+    return shared(t, "kpis", lambda: plans.agent_kpis(fact(t) if rows is None else rows, agents(t)))
 
 
 query("d40_agent_kpis", KPI_COLUMNS, f"with {KPI_CTE} select * from k")(lambda t: kpis(t))
@@ -239,7 +252,7 @@ from (select agt_cd, count(distinct case when {TAKEN} then pol_num end) as all_p
 
 
 def kept(t: Tables, rows=None):
-    return plans.retention(fact(t) if rows is None else rows, agents(t), t.e_programme)
+    return shared(t, "retention", lambda: plans.retention(fact(t) if rows is None else rows, agents(t), t.e_programme))
 
 
 query(
@@ -259,7 +272,7 @@ select * from (select p.agt_cd, p.pol_num, p.po_num, k.cli_nm, p.pmt_mode, s.lap
 
 
 def risks(t: Tables):
-    return plans.lapse_risks(t.e_lapse_score, fact(t), t.e_client, REPORT_DATE, "202005")
+    return shared(t, "risks", lambda: plans.lapse_risks(t.e_lapse_score, fact(t), t.e_client, REPORT_DATE, "202005"))
 
 
 query(
@@ -286,7 +299,9 @@ from c1 join m on c1.po_num = m.po_num join o on c1.po_num = o.po_num"""
 
 
 def next_leads(t: Tables):
-    return plans.next_leads(t.e_lead_score, t.e_product_score, fact(t), agents(t), t.e_link, REPORT_DATE)
+    return shared(
+        t, "leads", lambda: plans.next_leads(t.e_lead_score, t.e_product_score, fact(t), agents(t), t.e_link, REPORT_DATE)
+    )
 
 
 query(
@@ -314,7 +329,7 @@ TARGET = f"case {NEXT} when 'MDRT' then 721626600 when 'COT' then 2164879800 els
 
 
 def qualified(t: Tables):
-    return plans.qualification(agents(t), t.e_allowance)
+    return shared(t, "qualification", lambda: plans.qualification(agents(t), t.e_allowance))
 
 
 query(
@@ -502,8 +517,12 @@ PACK_MONTH = "2000-05"
     ),
 )
 def pack_exports(t: Tables):
-    """All outputs of the pack, from one stored fact, stamped, joined to the programme, and read back."""
+    """All outputs of the pack, from one stored fact, stamped, joined to the programme, and read back.
+
+    What several outputs show of an agent (KPIs, retention, risks, leads) is worked out once.
+    """
     stored_fact(t)
+    t._seen[SHARED] = {}
     reports = {name: REGISTRY[name].build(t) for name in PACK}
     members = t.e_programme.select("agt_cd").distinct()
     folder = f"{shared_dir(t.spark)}/tidewell-pack-{uuid.uuid4().hex}"
