@@ -151,6 +151,63 @@ def test_heavy_key_is_spread(spark, no_broadcast):
     assert max(r["count"] for r in plain) >= total - 1 and max(r["count"] for r in parts) < 0.6 * total
 
 
+def rows_made(df, node):
+    """Rows that the nodes of a kind made, in the plan as it ran."""
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        children = plan.children()
+        below = sum(walk(children.apply(i)) for i in range(children.size()))
+        return below + (plan.metrics().apply("numOutputRows").value() if name == node else 0)
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_split_join_repeats_the_few_no_more_with_more_rows(spark, no_broadcast):
+    few = spark.range(100).select(F.lit("hot").alias("b"), F.col("id").alias("v"))
+    made = []
+    for n in (10_000, 40_000):
+        many = spark.range(n).select(F.lit("hot").alias("a"), "id")
+        made.append(rows_made(O.split_join(many, few, ("a", "b"), how="left_semi", target=20), "GenerateExec"))
+    assert 0 < made[1] <= made[0] <= 100 * 64
+
+
+def test_few_bytes_of_many_pairs_stay_in_many_tasks(spark, no_broadcast):
+    many = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"), "id")
+    few = spark.range(500).select(F.when(F.col("id") % 10 == 0, "hot").otherwise(F.col("id").cast("string")).alias("b"), F.col("id").alias("v"))
+    parts = O.split_join(many, few, ("a", "b"), target=100).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 0.6 * 150_000
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_of_copies_and_nulls_in_blocks(spark, how, monkeypatch):
+    monkeypatch.setattr("tidewell.operators.skew.BLOCK_ROWS", 3)
+    rows = [("hot", 7, 1.5)] * 40 + [(None, i % 4, None) for i in range(30)] + [("hot", i, -0.0) for i in range(30)] + [("k", None, 0.0)] * 5
+    many = spark.createDataFrame(rows, "a string, i int, x double")
+    few = spark.createDataFrame([("hot", 1), ("hot", 1), ("hot", None), ("k", 3), (None, 4)], "b string, v int")
+    for some in (few, few.limit(0)):
+        want = many.join(some, F.col("a") == F.col("b"), how)
+        got = O.split_join(many, some, ("a", "b"), how=how, target=10)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_split_join_is_stored_in_less(spark, tmp_path, no_broadcast):
+    many = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"), "id")
+    few = spark.range(12_000).select(F.lit("hot").alias("b"), F.col("id").alias("v"))
+    joins = {"split": O.split_join(many, few, ("a", "b"), target=100), "plain": many.join(few, F.col("a") == F.col("b"))}
+    size = {}
+    for name, df in joins.items():
+        df.select("id", "v").write.parquet(f"{tmp_path}/{name}")
+        size[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    assert spark.read.parquet(f"{tmp_path}/split").count() == spark.read.parquet(f"{tmp_path}/plain").count() == 300 * 12_000
+    assert size["split"] < 0.5 * size["plain"], size
+
+
 def plain_as_of(rows, rates, within=None):
     out = []
     for i, k, d in rows:
