@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_storage import rows_made
 from tidewell.llm import queries, topk
 
 
@@ -100,6 +101,35 @@ def test_repeated_ids_as_in_the_sql(spark, tmp_path):
     assert got == sorted(db.sql(f"select query_id, rank, vec_id, score from ({queries.TOPK_SQL})").fetchall())
 
 
+def test_blocks_are_sent_to_few_cells(spark):
+    x = np.random.default_rng(12).normal(size=(900, 6))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    made = topk.search(df, F.col("id") % 3 == 0, block=10, query_block=2)
+    # 90 blocks of vectors to one cell each, 150 of queries to four; each to all others it meets would be 13,500
+    assert 0 < rows_made(made, "GenerateExec") <= 100 + 4 * 152
+
+
+@pytest.mark.parametrize("held", [1, 7000])
+def test_queries_beyond_what_a_task_holds(spark, monkeypatch, held):
+    monkeypatch.setattr(topk, "HELD_BYTES", held)
+    x = np.random.default_rng(13).normal(size=(300, 8)).astype(np.float32)
+    # components of two, four and eight bytes
+    x[7], x[8, 0], x[9, 1] = 2**10, 2**20, 2**25
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.search(df, F.col("id") % 3 == 0, block=50, query_block=5).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 3)
+
+
+@pytest.mark.parametrize("n, q, width, tasks", [(1, 0, 0, 4), (51_282, 1_026, 64, 12), (600_000, 12_000, 64, 600), (10**7, 10**7, 64, 200), (10**6, 20_000, 4_096, 8)])
+def test_grid_fills_its_cells_alike(n, q, width, tasks):
+    blocks, query_blocks, groups, columns = topk.grid(n, q, width, tasks, topk.BLOCK, topk.QUERY_BLOCK)
+    assert blocks % groups == query_blocks % columns == 0 and n <= blocks * topk.BLOCK and q <= query_blocks * topk.QUERY_BLOCK
+    each = query_blocks // columns
+    assert each == 1 or each * topk.QUERY_BLOCK * 8 * width <= topk.HELD_BYTES
+    assert groups * columns >= min(tasks, -(-n // topk.BLOCK))
+
+
 def test_awkward_input(spark):
     rows = [
         (0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]),

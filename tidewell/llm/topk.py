@@ -1,16 +1,18 @@
 """Exact top-k inner products by reading sorted lists without random access.
 
-Vectors are packed into blocks of bounded size, by a hash of id and vector; queries likewise. Every
-block of queries meets every block of vectors by its number. There each component is a list of
-the block's vectors, sorted by what they can add to the score (read from the other end where the
+Vectors are packed into blocks of bounded size, by a hash of id and vector; queries likewise. Both
+are dealt to the cells of a grid, a row of cells for each group of blocks of vectors and a column for
+each group of blocks of queries, so that a block is sent once to each cell of its row or column only,
+not to each block it meets. A cell is one task: it holds its queries, and the blocks of vectors
+pass by one after the other. There each component is a list of the block's vectors, sorted by what they can add to the score (read from the other end where the
 query's component is negative). All lists are read downwards together, a batch of entries at a
 time. Each entry read raises its vector's lower bound, which takes the least value of each list
 not read so far for the vector. Outsiders, the vectors not met in any list, cannot score more than
 the entries last read add up to; once that is under the k-th lower bound, or all vectors were met,
 they are out. From then on those met are kept only while their upper bound, the lower bound with
 the entries last read in place of the least, reaches the k-th lower bound. Reading stops when few
-are left; their scores are resolved, and the block's best k go on. The best of all blocks are
-exact: bounds are whole numbers, and ties are kept until they are resolved by id.
+are left; their scores are resolved. A cell keeps each query's best k so far, whose least score
+the next blocks must reach, and returns them at the end. The best of all cells are exact: bounds are whole numbers, and ties are kept until they are resolved by id.
 
 Defined results: vectors that are null, hold a null or non-finite component, or have no id take
 no part; shorter vectors count as zero beyond their end; every row is a candidate of the queries
@@ -21,6 +23,7 @@ Scores are 64-bit integers: components up to 2**20 are safe.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,8 @@ from .base import col, settle
 
 #: Vectors and queries in a block.
 BLOCK, QUERY_BLOCK = 4096, 512
+#: Bytes of queries that a task holds, as 64-bit components; each counts for so many components more.
+HELD_BYTES, HELD_MORE = 32 << 20, 64
 #: Batches in which lists are read to their end. Candidates few enough to be resolved.
 BATCHES = 8
 FEW = 64
@@ -50,8 +55,21 @@ def integers(vectors: DataFrame, *, key: str, vector: str, scale: int, k: int) -
     return alike.select("id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("nth")).drop("nth")
 
 
-def _packed(rows: DataFrame, blocks: Column, width: int, name: str) -> DataFrame:
-    """Blocks of vectors: their number, the ids, and the matrix row by row."""
+def grid(n: int, q: int, width: int, tasks: int, block: int, query_block: int) -> tuple[int, int, int, int]:
+    """Blocks of ``n`` vectors and of ``q`` queries, and the groups these are dealt to: as many blocks in each.
+
+    There are about ``tasks`` cells, more if a column's queries were more than a task holds. The fewest rows are
+    sent when as many vectors as queries are.
+    """
+    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-q // query_block))
+    held = max(1, HELD_BYTES // (8 * query_block * (width + HELD_MORE)))
+    columns = max(-(-query_blocks // held), min(query_blocks, round(math.sqrt(tasks * q / max(1, n)))), 1)
+    groups = min(blocks, -(-tasks // columns))
+    return groups * -(-blocks // groups), columns * -(-query_blocks // columns), groups, columns
+
+
+def _packed(rows: DataFrame, blocks: int, width: int) -> DataFrame:
+    """Blocks of vectors: their number, the ids, and the matrix row by row in integers as short as it allows."""
 
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("id").to_numpy()
@@ -59,16 +77,24 @@ def _packed(rows: DataFrame, blocks: Column, width: int, name: str) -> DataFrame
         for i, v in enumerate(group.column("v").to_pylist()):
             matrix[i, : len(v)] = v
         order = np.argsort(ids)
+        least, most = matrix.min(initial=0), matrix.max(initial=0)
+        short = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
         return pa.table(
             {
-                name: group.column(name).slice(0, 1),
-                f"{name}_ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
-                f"{name}_matrix": pa.array([matrix[order].astype("<i8").tobytes()], pa.binary()),
+                "number": group.column("number").slice(0, 1),
+                "ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
+                "matrix": pa.array([matrix[order].astype(short).tobytes()], pa.binary()),
             }
         )
 
-    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id", "v"), blocks).cast("int"))
-    return dealt.groupBy(name).applyInArrow(pack, f"{name} int, {name}_ids binary, {name}_matrix binary")
+    dealt = rows.withColumn("number", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("number").applyInArrow(pack, "number int, ids binary, matrix binary")
+
+
+def _unpacked(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(ids, "<i8")
+    bytes_each = len(matrix) // (len(found) * width) if width else 8
+    return found, np.frombuffer(matrix, f"<i{bytes_each}").reshape(len(found), width).astype(np.int64)
 
 
 class Lists:
@@ -156,37 +182,48 @@ def search(
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the ``k`` best for each id that ``queries`` (of ``id``) names."""
     rows = settle(integers(vectors, key=key, vector=vector, scale=scale, k=k))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(queries).alias("q"), F.max(F.size("v")).alias("w")).first()
-    width, n_blocks = size["w"] or 0, max(1, -(-size["n"] // block))
-    index = _packed(rows, F.lit(n_blocks), width, "block")
-    asked = _packed(rows.where(queries), F.lit(max(1, -(-size["q"] // query_block))), width, "query")
-    # the smaller side goes to every block of the other
-    pairs = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(index, "block")
+    width, tasks = size["w"] or 0, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks, query_blocks, groups, columns = grid(size["n"], size["q"], width, tasks, block, query_block)
+
+    def sent(packed: DataFrame, part: int, first: Column, last: int, step: int) -> DataFrame:
+        return packed.select(F.explode(F.sequence(first, first + F.lit(last), F.lit(step))).alias("cell"), F.lit(part).alias("part"), "ids", "matrix")
+
+    # a cell's number is its row's times the columns, and its column's
+    column, row = F.col("number") % columns, F.col("number") % groups * columns
+    asked = sent(_packed(rows.where(queries), query_blocks, width), 0, column, (groups - 1) * columns, columns)
+    index = sent(_packed(rows, blocks, width), 1, row, columns - 1, 1)
+    cells = asked.unionByName(index).repartitionById(groups * columns, "cell").sortWithinPartitions("part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lists, reached = None, None, {}
+        held, best, reached = [], [], {}
         for batch in batches:
             for row in range(batch.num_rows):
-                number, q_ids, q_matrix, ids, matrix = (c[row].as_py() for c in batch.columns)
-                if number != held:
-                    found = np.frombuffer(ids, "<i8")
-                    held, lists = number, Lists(found, np.frombuffer(matrix, "<i8").reshape(len(found), width))
-                asking = np.frombuffer(q_ids, "<i8")
-                best = []
-                for i, q in zip(asking.tolist(), np.frombuffer(q_matrix, "<i8").reshape(len(asking), width), strict=True):
-                    best.append(lists.best(i, q, k, reached.get(i)))
-                    if len(best[-1][1]) == k:  # the task's blocks so far hold k vectors as good
-                        reached[i] = max(reached.get(i, best[-1][1][-1]), best[-1][1][-1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(asking, [len(i) for i, _ in best])),
-                        pa.array(np.concatenate([i for i, _ in best])),
-                        pa.array(np.concatenate([s for _, s in best])),
-                    ],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    met = pairs.select("block", "query_ids", "query_matrix", "block_ids", "block_matrix")
-    found = met.mapInArrow(run, "query_id long, vec_id long, score long")
+                part, ids, matrix = (c[row].as_py() for c in batch.columns)
+                if part == 0:
+                    asking, q_matrix = _unpacked(ids, matrix, width)
+                    held += zip(asking.tolist(), q_matrix, strict=True)
+                    continue
+                lists = Lists(*_unpacked(ids, matrix, width)) if held else None
+                best = best or [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(held)
+                for n, (i, q) in enumerate(held):
+                    found, score = (np.concatenate(x) for x in zip(best[n], lists.best(i, q, k, reached.get(i)), strict=True))
+                    top = np.lexsort((found, -score))[:k]
+                    best[n] = found[top], score[top]
+                    if len(top) == k:  # the task's blocks so far hold k vectors as good
+                        reached[i] = max(reached.get(i, score[top[-1]]), score[top[-1]])
+        for start in range(0, len(best), query_block):
+            part = best[start : start + query_block]
+            asking = np.array([i for i, _ in held[start : start + query_block]], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(asking, [len(i) for i, _ in part])),
+                    pa.array(np.concatenate([i for i, _ in part])),
+                    pa.array(np.concatenate([s for _, s in part])),
+                ],
+                ["query_id", "vec_id", "score"],
+            )
+
+    found = cells.select("part", "ids", "matrix").mapInArrow(run, "query_id long, vec_id long, score long")
     in_order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
